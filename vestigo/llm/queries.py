@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, sharding, token_counts, warc
+from . import line_dedup, near_dedup, quality, sharding, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.external_shuffle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
+    "op5_near_dedup": op5_near_dedup,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
 }
