@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dedup, quality, sharding, token_counts, warc
+from . import line_dedup, near_dedup, quality, sharding, substring_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.drop_repeats(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.external_shuffle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op5_near_dedup": op5_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
 }

@@ -32,14 +32,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Lets Spark delete a finished query's shuffle files at once; a lost one is rebuilt from its stages.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a durable cut of its lineage."""
+    """Write ``df`` to the shared folder and read it back: a durable cut of its lineage.
+
+    The shuffle files behind ``df`` are of no more use then and go with the write.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        writer = df.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
