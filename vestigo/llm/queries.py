@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, near_dedup, quality, sharding, substring_dedup, token_counts, warc
+from . import bpe, decontaminate, line_dedup, near_dedup, pii, quality, sharding, substring_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
@@ -60,14 +64,29 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, _vocabulary("word_bpe_49k.json"), ("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document that holds a personal value, with its text after the change."""
+    rows = pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), key="vestigo")
+    kinds = F.array_sort(F.array_distinct(F.col("pii.kind")))
+    return rows.filter(F.size("pii") > 0).select("doc_id", F.size("pii").cast("long").alias("n_values"), F.array_join(kinds, ",").alias("kinds"), "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
+    "op4_decontamination": op4_decontamination,
     "op5_near_dedup": op5_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
+    "op9_bpe": op9_bpe,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {
@@ -89,6 +108,14 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
     CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to
 FROM h""",
+    "op4_decontamination": r"""
+WITH words AS (SELECT doc_id AS id, TRUE AS doc, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    UNION ALL SELECT item_id, FALSE, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark),
+grams AS (SELECT DISTINCT id, doc, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT id, doc, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM words)),
+sizes AS (SELECT id AS item_id, count(*) AS n FROM grams WHERE NOT doc GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, s.n AS n_shingles, count(*) AS n_shared, count(*) / s.n AS containment
+FROM grams d JOIN grams i ON d.g = i.g AND d.doc AND NOT i.doc JOIN sizes s ON s.item_id = i.id
+GROUP BY d.id, i.id, s.n HAVING 100 * count(*) >= 80 * s.n""",
     "op8_quality": r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
     string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
