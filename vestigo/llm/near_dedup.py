@@ -269,3 +269,9 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return final.select(
         id_out().alias("doc_id"), "n_shingles", F.when(component != F.lit(-(2**63)), component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
     )
+
+
+def one_per_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the documents that a smaller id of their component stands for; columns are left as they are."""
+    gone = near_components(docs, size, percent).filter("not kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
