@@ -30,19 +30,27 @@ def rate(num: Column, den: Column, n: Column) -> tuple[Column, Column, Column]:
     return value, F.when(some, low), F.when(some, high)
 
 
+def _band(value: Column) -> Column:
+    """A coarse integer that never falls as ``value`` rises: at most some hundred thousand bands for all doubles."""
+    size = F.floor(F.log2(F.abs(value)) * 64) + 100_000
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+
+
 def index_percentile(df: DataFrame, value: str, percent: int, *keys: str) -> DataFrame:
-    """The value at 0-based index least(floor(n * percent / 100), n - 1) of each group, in one sort.
+    """The value at 0-based index least(floor(n * percent / 100), n - 1) of each group.
 
-    Groups may be large: a rank picks the row, no group is collected. Without keys a
-    two-level count finds the row, so no single task sorts the whole table.
+    Band counts, pre-aggregated, tell which band holds the index; only that
+    band's values are then ranked. No task sorts or collects a whole group.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    name = f"p{percent}_{value}"
-    # One row per distinct value, pre-aggregated before the shuffle; ranks then run over counts.
-    counts = rows.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    order = Window.partitionBy(*keys).orderBy(value)
-    total = F.sum("n").over(Window.partitionBy(*keys))
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"), _band(F.col(value)).alias("band"))
+    bands = rows.groupBy(*keys, "band").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(*keys).orderBy("band")
     upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    at = F.least(F.floor(total * percent / 100), total - 1)
-    picked = counts.withColumns({"upto": upto, "at": at}).filter((F.col("upto") > F.col("at")) & (F.col("upto") - F.col("n") <= F.col("at")))
-    return picked.select(*keys, F.col(value).alias(name))
+    total = F.sum("n").over(Window.partitionBy(*keys))
+    bands = bands.withColumns({"upto": upto, "at": F.least(F.floor(total * percent / 100), total - 1)})
+    hit = bands.filter((F.col("upto") > F.col("at")) & (F.col("upto") - F.col("n") <= F.col("at")))
+    hit = hit.select(*keys, "band", (F.col("at") - F.col("upto") + F.col("n")).alias("inside"))
+    counts = rows.join(hit, [*keys, "band"]).groupBy(*keys, "v", "inside").agg(F.count("*").alias("n"))
+    below = F.sum("n").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    picked = counts.withColumn("below", below).filter((F.col("below") > F.col("inside")) & (F.col("below") - F.col("n") <= F.col("inside")))
+    return picked.select(*keys, F.col("v").alias(f"p{percent}_{value}"))
