@@ -109,7 +109,7 @@ def ooxml_plain(xml: Column | str) -> Column:
 
 
 def markdown_cell(text: Column | str) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.coalesce(_c(text).cast("string"), F.lit("")), r"\|", r"\\\\|"), "\n", " ")
+    return F.regexp_replace(F.regexp_replace(F.coalesce(_c(text).cast("string"), F.lit("")), r"\|", r"\\|"), "\n", " ")
 
 
 def context_block(result: Column) -> Column:

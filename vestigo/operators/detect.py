@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from .. import vocabulary as V
@@ -44,7 +45,7 @@ TOOL = Options(cascade=True)
 BATCH = Options(cascade=False)
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def ink_density(pixels: pd.Series) -> pd.Series:
     """Share of 8-bit gray values under the dark limit; 0 without pixels."""
     return pixels.map(lambda b: float((np.frombuffer(b, np.uint8) < V.DARK_PIXEL).mean()) if b else 0.0)
@@ -164,7 +165,7 @@ def detect_documents(docs: DataFrame, pages: DataFrame, widgets: DataFrame, dete
     )
 
 
-@pandas_udf("binary")
+@pandas_udf(T.BinaryType())
 def pdf_contents(obj: pd.Series) -> pd.Series:
     """Bytes of a ``/Contents`` entry, hexadecimal or literal with balanced parentheses and escapes."""
 

@@ -134,5 +134,5 @@ def observations(records: DataFrame) -> DataFrame:
     limited = F.when(F.col("paginas_limitadas"), F.concat(F.lit("Nível 1 limitado às primeiras "), F.col("paginas_analisadas_nivel1").cast("string"), F.lit(" págs")))
     tries = F.when(F.col("tentativas") > 1, F.concat(F.col("tentativas").cast("string"), F.lit(" tentativas")))
     text = F.concat_ws("; ", some("observacao"), some("erro"), F.concat(F.lit("Nível 1 indisponível: "), some("nivel1_erro")), pages, limited, tries)
-    text = F.regexp_replace(F.regexp_replace(text, r"\|", r"\\\\|"), "\n", " ")
+    text = F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), "\n", " ")
     return records.select("arquivo", F.coalesce(F.nullif(text, F.lit("")), F.lit("—")).alias("observacao"))
