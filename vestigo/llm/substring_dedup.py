@@ -14,9 +14,12 @@ another one with the same trigger place.
 *Dictionary and parse combined.* Phrases are sorted by trigger gram, phrase and
 corpus position. A phrase that occurred before repeats all its windows. Only
 grams with several different phrases can hide a repeated window inside phrases
-that differ; there the dictionary's suffixes of LENGTH bytes, the windows
-themselves, are sorted by hash and position for the first occurrence of each
-phrase. The order of longer suffixes isn't needed and isn't built, which keeps
+that differ. There the first occurrence of each phrase is cut into pieces of up
+to PIECE windows by their distance from the trigger. All windows of a piece share
+a core; a core that occurs once rules out every repeat, equal pieces under one
+core repeat whole, and only pieces that differ under one core come down to the
+dictionary's suffixes of LENGTH bytes, the windows themselves, sorted by hash and
+position. The order of longer suffixes isn't needed and isn't built, which keeps
 the work per corpus byte constant. A repetitive text leaves few phrases.
 
 Texts go through in blocks. Repeats inside a block are settled there, so a
@@ -47,6 +50,8 @@ from .words import _BASE, _BYTE, blocks, mix, raw_texts
 
 LENGTH = 100
 GRAM = 40
+#: Windows of a piece.
+PIECE = 8
 #: Bytes of a text that are parsed at once; longer texts continue with an overlap.
 SEGMENT = 4 << 20
 _U = np.uint64
@@ -69,7 +74,7 @@ class _Hashes:
                 nxt = h * _pow(size)
                 nxt[: max(0, len(h) - size)] += h[size:]
                 h, size = nxt, 2 * size
-                if size in (4, 8, 32, 64):
+                if size in (4, 8, 16, 32, 64):
                     self.by[size] = h
 
     def gram(self) -> np.ndarray:
@@ -80,6 +85,11 @@ class _Hashes:
     def window(self, at: np.ndarray) -> np.ndarray:
         return mix(self.by[64][at] * _pow(36) + self.by[32][at + 64] * _pow(4) + self.by[4][at + 96])
 
+    def core(self, at: np.ndarray) -> np.ndarray:
+        """Hash of the LENGTH - PIECE + 1 = 64 + 16 + 8 + 4 + 1 bytes from each place on."""
+        h = self.by[64][at] * _pow(29) + self.by[16][at + 64] * _pow(13) + self.by[8][at + 80] * _pow(5) + self.by[4][at + 88] * _U(_BASE) + self.by[1][at + 92]
+        return mix(h)
+
 
 def _triggers(gram: np.ndarray) -> np.ndarray:
     """For each window start the place of its trigger: the leftmost smallest gram hash."""
@@ -153,8 +163,18 @@ def _emit(batch: pa.RecordBatch, gram, string, owner, place, spans) -> Iterator[
         yield pa.RecordBatch.from_arrays([_signed(mix(own.view(np.uint64))), pa.nulls(len(rows), pa.int64()), doc.take(at), tag.take(at), pa.nulls(len(rows), pa.int64()), pa.array([spans[i] for i in rows], pa.binary())], schema=_ROW)
 
 
+def _pack(start: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """A run of windows: start of the first, its distance to the trigger, and how many follow."""
+    return start << 16 | before << 8 | more
+
+
+def _unite(hashes: _Hashes, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, under: np.ndarray) -> np.ndarray:
+    """Hash of the string from window ``lo`` to window ``hi``, at its distance from the trigger, under a key."""
+    return mix(hashes.window(lo) ^ mix(hashes.window(hi) + under)) ^ mix(before.astype(np.uint64) << _U(8) | (hi - lo).astype(np.uint64))
+
+
 def _parse(batches):
-    """Phrases of each block: place packs the first window's start, and the number of windows after it."""
+    """Phrases of each block under their trigger's gram."""
     for batch in batches:
         for part in blocks(batch):
             data, bounds = raw_texts(part.column(2))
@@ -169,41 +189,75 @@ def _parse(batches):
                 last = np.append(head[1:], len(starts)) - 1
                 own, lo, hi, at = owner[head], starts[head], starts[last], trigger[head]
                 g = gram[at]
-                more = (hi - lo).astype(np.uint64)
-                phrase = mix(hashes.window(lo) ^ mix(hashes.window(hi) + g)) ^ mix((at - lo).astype(np.uint64) << _U(8) | more)
+                phrase = _unite(hashes, lo, hi, at - lo, g)
                 start = lo - base[own]
                 first, later = _first_of(phrase, docs[own], start)
                 spans = _spans(own[later], start[later], (start + hi - lo)[later] + LENGTH, part.num_rows)
-                yield from _emit(part, g[first], phrase[first], own[first], (start << 8 | more.astype(np.int64))[first], spans)
+                yield from _emit(part, g[first], phrase[first], own[first], _pack(start, at - lo, hi - lo)[first], spans)
+
+
+def _wanted(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of the runs that a text is asked for: owner text, start, distance to the trigger, windows, key."""
+    wanted = part.column(3)
+    counts = np.diff(np.frombuffer(wanted.buffers()[1], np.int32)[wanted.offset : wanted.offset + len(wanted) + 1])
+    place = wanted.flatten().field(0).to_numpy()
+    key = wanted.flatten().field(1).to_numpy().view(np.uint64)
+    return np.repeat(np.arange(part.num_rows), counts), place >> 16, place >> 8 & 255, (place & 255) + 1, key
+
+
+def _stretches(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, _Hashes, int]]:
+    """Indexes of ``at`` in each stretch of the bytes with the stretch's hashes and start."""
+    order, size = np.argsort(at, kind="stable"), SEGMENT
+    ordered = at[order]
+    for s in range(0, len(data), size):
+        a, b = np.searchsorted(ordered, [s, s + size])
+        if a < b:
+            yield order[a:b], _Hashes(data[s : s + size + 2 * LENGTH + PIECE]), s
+
+
+def _split(batches):
+    """Pieces of the wanted phrases under the hash of their core."""
+    for batch in batches:
+        for part in blocks(batch):
+            data, bounds = raw_texts(part.column(2))
+            docs = part.column(0).to_numpy()
+            own, lo, before, n, _ = _wanted(part)
+            run = np.repeat(np.arange(len(own)), n)
+            inside = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+            distance = before[run] - inside
+            new = np.ones(len(run), bool)
+            new[1:] = (run[1:] != run[:-1]) | (distance[1:] // PIECE != distance[:-1] // PIECE)
+            head = np.flatnonzero(new)
+            last = np.append(head[1:], len(run)) - 1
+            owner, start, more, away = own[run[head]], lo[run[head]] + inside[head], last - head, distance[head]
+            whole = bounds[owner] + start
+            core, string = np.empty(len(head), np.uint64), np.empty(len(head), np.uint64)
+            for i, hashes, s in _stretches(data, whole):
+                at = whole[i] - s
+                core[i] = hashes.core(at + away[i] % PIECE) ^ mix((away[i] // PIECE).astype(np.uint64))
+                string[i] = _unite(hashes, at, at + more[i], away[i], core[i])
+            first, later = _first_of(string, docs[owner], start)
+            spans = _spans(owner[later], start[later], (start + more)[later] + LENGTH, part.num_rows)
+            yield from _emit(part, core[first], string[first], owner[first], _pack(start, away, more)[first], spans)
 
 
 def _windows(batches):
-    """Every window of the given phrases: string is its hash, gram that of its phrase's trigger."""
+    """Every window of the wanted pieces under the piece's core."""
     for batch in batches:
         for part in blocks(batch):
             data, bounds = raw_texts(part.column(2))
             docs = part.column(0).to_numpy()
-            wanted = part.column(3)
-            counts = np.diff(np.frombuffer(wanted.buffers()[1], np.int32)[wanted.offset : wanted.offset + len(wanted) + 1])
-            place = wanted.flatten().field(0).to_numpy()
-            gram = wanted.flatten().field(1).to_numpy()
-            own = np.repeat(np.arange(part.num_rows), counts)
-            lo, n = place >> 8, (place & 255) + 1
-            owner = np.repeat(own, n)
-            inside = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-            start = np.repeat(lo, n) + inside
-            g = np.repeat(gram, n).view(np.uint64)
-            string = np.empty(len(owner), np.uint64)
+            own, lo, _, n, key = _wanted(part)
+            owner, core = np.repeat(own, n), np.repeat(key, n)
+            start = np.repeat(lo, n) + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
             whole = bounds[owner] + start
-            size = 4 * SEGMENT
-            order = np.argsort(whole, kind="stable")
-            for s in range(0, len(data), size):  # hashes of one stretch at a time
-                a, b = np.searchsorted(whole[order], [s, s + size])
-                if a < b:
-                    string[order[a:b]] = _Hashes(data[s : s + size + LENGTH]).window(whole[order[a:b]] - s)
-            first, later = _first_of(string ^ mix(g), docs[owner], start)
+            string = np.empty(len(owner), np.uint64)
+            for i, hashes, s in _stretches(data, whole):
+                string[i] = hashes.window(whole[i] - s)
+            first, later = _first_of(string ^ mix(core), docs[owner], start)
             spans = _spans(owner[later], start[later], start[later] + LENGTH, part.num_rows)
-            yield from _emit(part, g[first], string[first], owner[first], (start << 8)[first], spans)
+            zero = np.zeros(len(owner), np.int64)
+            yield from _emit(part, core[first], string[first], owner[first], _pack(start, zero, zero)[first], spans)
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
@@ -218,14 +272,17 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, start, end, spans): what goes, as one span or as packed pairs."""
-    found = materialise(
-        _ranked(docs.mapInArrow(_parse, _DDL)).filter("later or mixed or string is null").select("doc_id", "tag", "gram", "place", "later", "spans"), "phrases"
-    )
-    wanted = found.filter("place is not null and not later").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "gram")).alias("wanted"))
-    texts = docs.join(wanted.hint("shuffle_hash"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted")
-    again = materialise(_ranked(texts.mapInArrow(_windows, _DDL)).filter("later or string is null").select("doc_id", "tag", "place", "spans"), "windows")
-    settled = found.filter("later or place is null").select("doc_id", "tag", "place", "spans").unionByName(again)
-    span = F.expr(f"named_struct('start', shiftright(place, 8), 'end', shiftright(place, 8) + (place & 255) + {LENGTH})")
+    columns = ["doc_id", "tag", "gram", "place", "later", "spans"]
+    found = materialise(_ranked(docs.mapInArrow(_parse, _DDL)).filter("later or mixed or string is null").select(*columns), "phrases")
+    settled = found
+    for name, look in (("pieces", _split), ("windows", _windows)):
+        wanted = found.filter("place is not null and not later").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "gram")).alias("wanted"))
+        texts = docs.join(wanted.hint("shuffle_hash"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted")
+        kept = "later or string is null" if look is _windows else "later or mixed or string is null"
+        found = materialise(_ranked(texts.mapInArrow(look, _DDL)).filter(kept).select(*columns), name)
+        settled = settled.unionByName(found)
+    settled = settled.filter("later or place is null")
+    span = F.expr(f"named_struct('start', shiftright(place, 16), 'end', shiftright(place, 16) + (place & 255) + {LENGTH})")
     return settled.select("doc_id", "tag", F.when(F.col("place").isNotNull(), span).alias("span"), "spans")
 
 
