@@ -100,7 +100,7 @@ def keep_bitmaps(dropped: DataFrame) -> DataFrame:
     return words.groupBy("doc_id", "row_tag").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("drops"))
 
 
-_KEEP = "filter(split(text, '\\n', -1), (line, i) -> (coalesce(try_element_at(drops, cast(i div 64 as int)), 0L) & shiftleft(1L, i % 64)) = 0)"
+_KEEP = "filter(split(text, '\\n', -1), (line, i) -> (coalesce(try_element_at({0}, cast(i div 64 as int)), 0L) & shiftleft(1L, i % 64)) = 0)"
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -111,18 +111,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         id_out().alias("doc_id"),
         F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
         F.when(F.col("drops").isNull(), F.lit(0)).otherwise(dropped).cast("long").alias("n_dropped"),
-        F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(F.expr(_KEEP), "\n")).alias("kept_text"),
+        F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(F.expr(_KEEP.format("drops")), "\n")).alias("kept_text"),
         "drops",
     )
 
 
 def without_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs``, all columns, with repeated lines gone from ``text`` and ``n_chars``, if there, brought up to date."""
-    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).toDF("__id", "__tag", "drops")
+    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).toDF("__id", "__tag", "__drops")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = docs.withColumns({"__id": id_in(), "__tag": F.hash(text)})
     rows = marked.join(maps.hint("shuffle_hash"), ["__id", "__tag"], "left")
-    new = {"text": F.when(F.col("drops").isNull(), F.col("text")).otherwise(F.array_join(F.expr(_KEEP), "\n"))}
+    new = {"text": F.when(F.col("__drops").isNull(), F.col("text")).otherwise(F.array_join(F.expr(_KEEP.format("__drops")), "\n"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("drops").isNull(), F.col("n_chars")).otherwise(F.char_length(new["text"]).cast("long"))
+        new["n_chars"] = F.when(F.col("__drops").isNull(), F.col("n_chars")).otherwise(F.char_length(new["text"]).cast("long"))
     return rows.withColumns(new).select(*docs.columns)
