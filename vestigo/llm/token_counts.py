@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .shared import materialise
+
 #: A text is encoded in pieces of about this many characters, cut only where a token must begin.
 PIECE_CHARS = 1 << 18
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -56,7 +58,10 @@ def count_tokens(text: str, encoding) -> int:
 
 
 def length_histogram(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """(n_tokens, n_docs): how many documents have each encoded length."""
+    """(n_tokens, n_docs): how many documents have each encoded length.
+
+    The histogram is written before it is used, so that every answer from it leaves the documents alone.
+    """
 
     def count(batches):
         encoding = _encoding(vocabulary, pattern)
@@ -68,10 +73,10 @@ def length_histogram(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["n_tokens", "n_docs"])
 
     part = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "n_tokens long, n_docs long")
-    return part.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    return materialise(part.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "histogram")
 
 
-def with_suffix_sums(hist: DataFrame, run: int = 4096) -> DataFrame:
+def with_suffix_sums(hist: DataFrame, run: int = 512) -> DataFrame:
     """For every length: documents and tokens at or above it, and the corpus total when cut at it.
 
     Lengths are summed inside runs of ``run`` lengths; one row per run is then summed across runs.
