@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +56,7 @@ def run_lock(path: str):
                     pid = int(json.load(f)["pid"])
                 os.kill(pid, 0)
             except (OSError, ValueError, KeyError, TypeError):
-                with open(os.devnull):
+                with suppress(FileNotFoundError):
                     os.unlink(path)
                 continue
             raise RuntimeError(f"another run holds {path}") from None

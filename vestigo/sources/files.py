@@ -132,10 +132,6 @@ def zip_members(archives: DataFrame) -> DataFrame:
 _BREAK, _TAB, _TAG = re.compile(V.XML_BREAK), re.compile(V.XML_TAB), re.compile(V.XML_TAG)
 
 
-def _natural(parts: list[str]) -> list[str]:
-    return sorted(parts)
-
-
 def package_text(data: bytes, extension: str) -> str:
     """Text of an Office package: its XML parts in name order, joined by newlines."""
     prefix = V.OOXML_TEXT[extension.lower()]
@@ -143,7 +139,7 @@ def package_text(data: bytes, extension: str) -> str:
         parts = [m for m in z.infolist() if m.filename.startswith(prefix) and m.filename.endswith(".xml")]
         if sum(m.file_size for m in parts) > V.MAX_XML_BYTES:
             raise ValueError("package text over its limit")
-        names = _natural([m.filename for m in parts])
+        names = sorted(m.filename for m in parts)
         raw = [z.read(n).decode("utf-8", "replace") for n in names]
     return "\n".join(html.unescape(_TAG.sub("", _TAB.sub("\t", _BREAK.sub("\n", x)))) for x in raw)
 
