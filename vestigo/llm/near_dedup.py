@@ -200,7 +200,9 @@ def _check_cells(crowd: DataFrame, comps: DataFrame, sig: DataFrame, sets: DataF
     known = crowd.filter("size > 2 and doc_id <> leader").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     known = known.select("bucket", "band", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
     open_ = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.expr(f"cast(ceil(count(*) / {CELL}) as int)").alias("fan")).filter("lo <> hi")
-    rows = known.join(open_.select("bucket", "fan"), "bucket").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("fan")).cast("int"))
+    # Written first: where its size is small, the join then leaves the members of a hot bucket where they lie.
+    open_ = materialise(open_.select("bucket", "fan"), "open")
+    rows = known.join(open_, "bucket").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("fan")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)))
     rows = rows.select("bucket", F.least("chunk", "other").alias("left"), F.greatest("chunk", "other").alias("right"), "band", "doc_id", "comp", "chunk")
     full = sig.select("doc_id", F.col("bands").alias("keys"), "sketch").join(sets, "doc_id")
