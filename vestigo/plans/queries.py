@@ -448,6 +448,21 @@ def certificate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lot.table(spark, sf_dir, "documents").select("doc_id", F.try_element_at(X.certificate_names(raw), F.lit(1)).alias("nome"))
 
 
+_SPACE = r"[\t-\r \x{85}\pZ]+"
+
+
+@query(f"SELECT doc_id, trim(trim(regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g')), ' .,:;-') AS nome FROM documents")
+def clean_signer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lot.table(spark, sf_dir, "documents").select("doc_id", X.clean_signer(F.coalesce("text", F.lit(""))).alias("nome"))
+
+
+@query("""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[A-Z][A-Z]+(?:[ ][A-Z][A-Z]*){1,6}', 0) AS n FROM documents)
+SELECT doc_id, list_filter(n, lambda x, i: list_position(n, x) = i)[1:5] AS nomes FROM d""")
+def certificate_names_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.translate(F.coalesce("text", F.lit("")), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("binary")
+    return lot.table(spark, sf_dir, "documents").select("doc_id", X.certificate_names(raw).alias("nomes"))
+
+
 @query("SELECT doc_id, sha256(coalesce(text, '')) AS sha256, substr(sha256(coalesce(text, '')), 1, 12) AS id FROM documents")
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.sha2(F.coalesce("text", F.lit("")), 256)
