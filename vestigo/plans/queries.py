@@ -463,6 +463,45 @@ def certificate_names_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lot.table(spark, sf_dir, "documents").select("doc_id", X.certificate_names(raw).alias("nomes"))
 
 
+_STAMPED_WHOLE = """WITH d AS (SELECT doc_id, coalesce(text, '') || CASE WHEN doc_id % 4 = 0 THEN chr(10) || 'Assinado digitalmente por: ' || replace(substr(coalesce(text, ''), 1, 24), chr(10), ' ') || ' .,' || chr(10) || 'assinada por: fim'
+    WHEN doc_id % 4 = 1 THEN ' ICP Brasil' WHEN doc_id % 4 = 2 THEN chr(10) || 'Assinatura do empregado: ____' ELSE '' END AS t FROM documents)"""
+
+
+def _stamped_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole text with a stamp or label behind it; the start of the text serves as the signer's name."""
+    i, t = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    head = F.regexp_replace(F.substring(t, 1, 24), "\n", " ")
+    stamp = F.when(i % 4 == 0, F.concat(F.lit("\nAssinado digitalmente por: "), head, F.lit(" .,\nassinada por: fim"))).when(i % 4 == 1, " ICP Brasil").when(i % 4 == 2, "\nAssinatura do empregado: ____").otherwise("")
+    return lot.table(spark, sf_dir, "documents").select("doc_id", F.concat(t, stamp).alias("t"))
+
+
+def _re2(pattern: str) -> str:
+    """~ and @ in a class stand for Unicode spaces and word characters."""
+    return "'(?i)" + pattern.replace("~", r"\t-\r \x{85}\pZ").replace("@", r"\pL\pM\pN\p{Pc}") + "'"
+
+
+_SIGNER = _re2(r"assinad[oa][~]+(?:digitalmente|eletronicamente)?[~]*por[:~]+([^\n\r]+)")
+_MARK = _re2(
+    r"assinad[oa][~]+digitalmente|assinad[oa][~]+eletronicamente|assinatura[~]+digital|assinatura[~]+eletr[oô]nica|icp[-~]?brasil|certificad[oa][~]+digital"
+    r"|documento[~]+assinado[~]+(?:digital|eletronic)|(?:^|[^@])DN:[~]*C="
+)
+_LABEL = _re2(
+    r"assinatura[~]+d[oae]s?[~]+[@]|assinatura[:~]*___|_____[~]*\n?[~]*assinatura|(?:^|[^@])visto[~]+d[oae](?:$|[^@])|ciente[~]+e[~]+de[~]+acordo|recebi[~]+(?:o|a|as|os)[~]+[@]"
+)
+
+
+@query(_STAMPED_WHOLE + f""", n AS (SELECT doc_id, t, list_filter(list_transform(regexp_extract_all(t, {_SIGNER}, 1), lambda x: trim(trim(regexp_replace(x, '{_SPACE}', ' ', 'g')), ' .,:;-')), lambda x: x <> '') AS s FROM d)
+SELECT doc_id, CASE WHEN len(s) > 0 THEN s[1] END AS signatario, CAST(CASE WHEN len(s) > 0 THEN len(list_distinct(list_transform(s, lambda x: lower(x)))) WHEN regexp_matches(t, {_MARK}) THEN 1 ELSE 0 END AS INTEGER) AS n_hits FROM n""")
+def signer_extract_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stamped_whole(spark, sf_dir).withColumn("h", X.stamp_hits("t"))
+    return rows.select("doc_id", F.try_element_at("h", F.lit(1))["signatario"].alias("signatario"), F.size("h").alias("n_hits"))
+
+
+@query(_STAMPED_WHOLE + f" SELECT doc_id, regexp_matches(t, {_LABEL}) AS rotulo FROM d")
+def signature_label_cue_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stamped_whole(spark, sf_dir).select("doc_id", X.has_signature_label("t").alias("rotulo"))
+
+
 @query("SELECT doc_id, sha256(coalesce(text, '')) AS sha256, substr(sha256(coalesce(text, '')), 1, 12) AS id FROM documents")
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.sha2(F.coalesce("text", F.lit("")), 256)
