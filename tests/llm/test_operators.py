@@ -459,6 +459,31 @@ def test_pseudonyms(spark, none):
     assert pii.pseudonymise(none, "k").count() == 0
 
 
+def test_cards_beside_other_numbers(spark):
+    card, other = "4111 1111 1111 1111", "5500-0000-0000-0004"
+    kept = ["{} 123", "{} 12/26", "{} 12", "7 {}", "12345 {}", "12 34 56 78 90 {} 123", "{} 12a", "{}", "{} 2024-13-15"]
+    texts = [k.format(c) for k in kept for c in (card, card.replace(" ", ""), card.replace(" ", "-"))]
+    texts += [f"{card} {other} 99", f"{card} 123-45-6789", f"{card} 2024-01-15", f"{card} 10.0.0.1", f"{card} 12@mail5.example.com", "4111 1111 1111 1112 123", "1" * 25, "12 34 " * 3000 + card]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pii.pseudonymise(df, "k").cache()
+    got = {r.doc_id: r for r in out.collect()}
+    new = got[texts.index(card)].text
+    digits = lambda s: re.sub(r"\D", "", s)
+    assert new != card and _luhn(new)
+    for i, k in enumerate(kept):
+        for j, sep in enumerate((" ", "", "-")):
+            r = got[3 * i + j]
+            assert r.text == k.format(new.replace(" ", sep)) and [(p.kind, digits(p.value)) for p in r.pii] == [("card", digits(new))], r
+    n = 3 * len(kept)
+    two = [p.value for p in got[n].pii]
+    assert two[0] == new and two[1] != other and _luhn(two[1]) and got[n].text == f"{new} {two[1]} 99"
+    assert [[p.kind for p in got[n + k].pii] for k in range(1, 5)] == [["card", x] for x in ("ssn", "date", "ipv4", "email")]
+    assert all(got[n + k].text.startswith(new + " ") for k in range(1, 5))
+    assert got[n + 5].text == texts[n + 5] and got[n + 6].text == texts[n + 6] and got[n + 7].text.endswith(new)
+    back = {r.doc_id: r.text for r in pii.pseudonymise(out, "k", back=True).collect()}
+    assert [back[i] for i in range(n + 5)] == texts[: n + 5]
+
+
 def test_permutations_are_bijections(spark):
     for size in (1, 2, 3):
         m = spark.range(10**size).select(F.lpad(F.col("id").cast("string"), size, "0").alias("m"))

@@ -9,7 +9,9 @@ Punctuation and letter case stay in place:
 
 =======  ==================================================================
 card     13 to 19 digits that pass Luhn: all but the last are permuted, the
-         check digit is computed anew
+         check digit is computed anew. In a run of numbers parted by single
+         spaces or hyphens every span of whole numbers is tried: usual card
+         groupings first, then from the left, the longest first
 phone    +country, then ten digits grouped 3-3-4: the ten digits are permuted
 ipv4     the 32-bit address is permuted
 ssn      3-2-4 digits in the issued ranges: permuted among those
@@ -23,7 +25,9 @@ shuffled, and texts without a digit or @ are passed by.
 
 Defined results: a null or empty text stays as it is; null ids and repeated rows
 are treated like others; other columns stay, and ``pii`` gives way to the output;
-an empty table stays empty. A value that fails its check stays as it is.
+an empty table stays empty. A value that fails its check stays as it is. Where
+card spans overlap by chance (five groups of four digits, say), only the first
+choice is taken; ``back`` can then choose otherwise.
 """
 
 from __future__ import annotations
@@ -38,7 +42,9 @@ PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
-CARD = r"(?<![A-Za-z0-9])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])"
+#: A whole run of numbers, of any length, up to where another kind of value begins.
+_NEXT = rf"[ -](?!{EMAIL}|{IPV4}|{SSN}|{DATE})"
+CARD = rf"(?<![A-Za-z0-9])(?=[0-9](?:(?:{_NEXT})?[0-9]){{12}}[0-9]*+(?![A-Za-z]))[0-9]++(?:{_NEXT}[0-9]++(?![A-Za-z]))*+"
 CANDIDATE = "|".join((EMAIL, PHONE, IPV4, SSN, DATE, CARD))
 _LETTERS, _DIGITS26 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
 
@@ -113,7 +119,27 @@ def _digits(m: str) -> str:
 def _card(m: str, key: str, back: bool) -> str:
     body = permute_digits("substr(d, 1, length(d) - 1)", "'card'", key, back)
     check = f"cast((10 - {_luhn_sum(chr(39) + chr(39)).replace(chr(39) * 2, 'concat(b, 0)')} % 10) % 10 as string)"
-    return _with("d", _digits(m), f"if({_luhn_sum('d')} % 10 = 0 and d not rlike '^0+$', {_with('b', body, _refill(m, f'concat(b, {check})'))}, null)")
+    return _with("d", _digits(m), _with("b", body, _refill(m, f"concat(b, {check})")))
+
+
+def _cards(m: str, key: str, back: bool) -> str:
+    """Array of (kind, value, piece): the card spans of a run of numbers and what lies between them."""
+    valid = f"length(d) between 13 and 19 and d not rlike '^0+$' and {_luhn_sum('d')} % 10 = 0"
+    usual = "x rlike '^([0-9]{13,19}|[0-9]{4}([ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})[ -]?$'"
+    span = f"named_struct('rank', if({usual}, 0, 1), 'at', i, 'less', -k)"
+    tried = _with("x", "array_join(slice(g, i, k), '')", _with("d", _digits("x"), f"if({valid}, {span}, null)"))
+    spans = f"array_sort(flatten(transform(sequence(1, size(g)), i -> filter(transform(sequence(1, least(19, size(g) - i + 1)), k -> {tried}), y -> y is not null))))"
+    none = "cast(array() as array<struct<rank: int, at: int, less: int>>)"
+    free = "not exists(s, z -> y.at < z.at - z.less and z.at < y.at - y.less)"
+    chosen = f"array_sort(transform(aggregate({spans}, {none}, (s, y) -> if({free}, concat(s, array(y)), s)), y -> named_struct('at', y.at, 'k', -y.less)))"
+    # Gaps lie before each card and behind the last one; a separator behind a card counts as a gap.
+    last = "named_struct('at', size(g) + 1, 'k', 0)"
+    end = "if(n = 0, 1, c[n - 1].at + c[n - 1].k)"
+    gap = f"concat(if(n > 0 and {end} <= size(g), regexp_extract(g[{end} - 2], '[ -]$', 0), ''), array_join(slice(g, {end}, y.at - {end}), ''))"
+    card = _with("p", "regexp_replace(array_join(slice(g, y.at, y.k), ''), '[ -]$', '')", f"named_struct('kind', 'card', 'value', {_card('p', key, back)}, 'piece', p)")
+    piece = f"array(named_struct('kind', 'card', 'value', cast(null as string), 'piece', {gap}))"
+    pieces = f"flatten(transform(concat(c, array({last})), (y, n) -> if(y.k = 0, {piece}, concat({piece}, array({card})))))"
+    return _with("g", f"split({m}, '(?<=[ -])')", _with("c", chosen, pieces))
 
 
 def _phone(m: str, key: str, back: bool) -> str:
@@ -154,10 +180,10 @@ def _email(m: str, key: str, back: bool) -> str:
 
 
 def _pseudonym(m: str, key: str, back: bool) -> str:
-    """Struct (kind, value): value is null where the match isn't valid."""
-    kinds = (("email", "like '%@%'", _email), ("phone", "like '+%'", _phone), ("ipv4", r"rlike '^[0-9]{1,3}([.][0-9]{1,3}){3}$'", _ipv4), ("ssn", "rlike '^[0-9]{3}-[0-9]{2}-[0-9]{4}$'", _ssn), ("date", "rlike '^([0-9]{4}-|[0-9]{2}[./][0-9]{2}[./])'", _date))
-    cases = " ".join(f"when {m} {test} then named_struct('kind', '{kind}', 'value', {make(m, key, back)})" for kind, test, make in kinds)
-    return f"case {cases} else named_struct('kind', 'card', 'value', {_card(m, key, back)}) end"
+    """Array of (kind, value, piece), the pieces of the match: value is null where a piece isn't valid."""
+    kinds = (("email", "like '%@%'", _email), ("phone", "like '+%'", _phone), ("ipv4", r"rlike '^[0-9]{1,3}([.][0-9]{1,3}){3}$'", _ipv4), ("ssn", "rlike '^[0-9]{3}-[0-9]{2}-[0-9]{4}$'", _ssn), ("date", "rlike '^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$'", _date))
+    cases = " ".join(f"when {m} {test} then array(named_struct('kind', '{kind}', 'value', {make(m, key, back)}, 'piece', {m}))" for kind, test, make in kinds)
+    return f"case {cases} else {_cards(m, key, back)} end"
 
 
 def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
@@ -172,7 +198,7 @@ def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     rest = F.when(worth, F.split(text, CANDIDATE, -1))
     rows = docs.drop("pii").withColumns({"__found": found, "__rest": rest})
     rows = rows.withColumn("__new", F.expr(f"transform(__found, m -> {_pseudonym('m', key, back)})"))
-    glued = F.expr("array_join(zip_with(__rest, zip_with(__found, __new, (m, n) -> coalesce(n.value, m)), (r, v) -> concat(r, coalesce(v, ''))), '')")
+    glued = F.expr("array_join(zip_with(__rest, transform(__new, n -> array_join(transform(n, p -> coalesce(p.value, p.piece)), '')), (r, v) -> concat(r, coalesce(v, ''))), '')")
     rows = rows.withColumn("text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(glued))
-    rows = rows.withColumn("pii", F.coalesce(F.expr("filter(__new, n -> n.value is not null)"), F.expr("cast(array() as array<struct<kind: string, value: string>>)")))
+    rows = rows.withColumn("pii", F.coalesce(F.expr("transform(filter(flatten(__new), n -> n.value is not null), n -> named_struct('kind', n.kind, 'value', n.value))"), F.expr("cast(array() as array<struct<kind: string, value: string>>)")))
     return rows.drop("__found", "__rest", "__new")
