@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -424,6 +425,18 @@ def test_tree_concatenation():
         assert np.frombuffer(ids, "<u4").tolist() == e and decoded == t.decode(e, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_of_pairs_at_the_threshold_agree_enough(percent):
+    q, n, k = percent / 100, near_dedup.COORDINATES, near_dedup.floor_for(percent)
+    below = lambda k: sum(math.comb(n, x) * q**x * (1 - q) ** (n - x) for x in range(k))
+    assert below(k) < 1e-8 <= below(k + 1)
+    # one pair in one cell, whose sketches agree in just as many coordinates
+    same, sketch = np.arange(100, dtype=np.uint64), np.zeros((2, n), np.uint8)
+    sketch[1, k:] = 1
+    rows = {"doc": np.array([1, 2]), "comp": np.array([1, 2]), "chunk": np.array([0, 0]), "cell": (0, 0), "band": 0, "bands": np.zeros((2, 20), np.int64), "sketch": sketch, "sets": [same, same[: percent]]}
+    assert near_dedup._cell_links(rows, percent, 20) == [(1, 2)]
+
+
 # --- pseudonyms ---
 
 

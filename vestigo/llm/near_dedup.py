@@ -16,12 +16,13 @@ Steps, none of which gathers an unbounded group in one task or on the driver:
    still hold several components are dealt as a grid of bounded cells, where the
    pairs between components that no leader settled are checked: pairs meet in
    the first band they share, are passed over where their sketches agree in so
-   few coordinates that the threshold is out of reach (``_SLACK``), and are
+   few coordinates that the threshold is out of reach (``floor_for``), and are
    otherwise decided on full sets.
 5. Links found there join components to the final ones.
 
 A pair at the threshold shares no band with a probability under 1e-8 for the
-band shapes that ``bands_for`` gives.
+band shapes that ``bands_for`` gives, and its sketches agree in too few
+coordinates with one under 1e-8, coordinates taken as independent.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text with fewer words than a shingle has its whole
@@ -32,6 +33,8 @@ no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,21 +47,30 @@ from .words import BLOCK_BYTES, Words, blocks, mix
 COORDINATES = 160
 #: Members of a bucket that meet in one cell, from either side.
 CELL = 512
-#: A pair is passed over when its sketches agree less often than the threshold by this share of coordinates:
-#: over 4.5 standard deviations at 160 coordinates.
-_SLACK = 0.13
+#: Bound of the chance that a pair at the threshold shares no band, and of that its sketches agree in too few coordinates.
+MISS = 1e-8
 _STRIDE = 1 << 15
 
 
 def bands_for(percent: int) -> tuple[int, int]:
-    """(bands, rows) whose chance to miss a pair at the threshold is under 1e-8."""
+    """(bands, rows) whose chance to miss a pair at the threshold is under MISS."""
     for rows in range(8, 0, -1):
         bands = COORDINATES // rows
-        if (1 - (percent / 100) ** rows) ** bands < 1e-8:
+        if (1 - (percent / 100) ** rows) ** bands < MISS:
             return bands, rows
     return COORDINATES, 1
 
 
+def floor_for(percent: int) -> int:
+    """Coordinates in which sketches must agree: a pair at the threshold agrees in fewer with a chance under MISS."""
+    p, below = percent / 100, 0.0
+    for k in range(COORDINATES + 1):
+        below += math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if below >= MISS:
+            return k
+    return COORDINATES
+
+
 def _sigma(h: np.ndarray) -> np.ndarray:
     """A 64-bit shingle hash, scattered and folded to the 32-bit universe."""
     return (mix(h) >> np.uint64(32)).astype(np.uint32)
@@ -170,7 +182,7 @@ def _cell_links(rows: dict, percent: int, bands: int) -> list[tuple[int, int]]:
     doc, comp, chunk, (left, right) = rows["doc"], rows["comp"], rows["chunk"], rows["cell"]
     band, keys, sketch, sets = rows["band"], rows["bands"], rows["sketch"], rows["sets"]
     one, two = np.flatnonzero(chunk == left), np.flatnonzero(chunk == right)
-    floor = int((percent / 100 - _SLACK) * COORDINATES)
+    floor = floor_for(percent)
     links, parent = [], {}
 
     def root(x):
