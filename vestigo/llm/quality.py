@@ -148,8 +148,9 @@ def plan_order(docs: DataFrame, rules: Iterable[Rule] = BASE_RULES + RULES, samp
 def cascade(docs: DataFrame, rules: Iterable[Rule], stats: Iterable[str] = (), base: Iterable[Rule] = ()) -> DataFrame:
     """``docs`` with ``kept`` and the statistics asked for.
 
-    With ``base`` rules, ``base_failed`` tells what they reject; the rest of the
-    cascade then runs on what they leave.
+    With ``base`` rules, ``base_failed`` tells what they reject. Where statistics or
+    ``base`` rules are asked for, all is computed for all documents and the order
+    of rules saves nothing; otherwise each rule runs on what the earlier ones left.
     """
     rules, stats, base = list(rules), list(stats), list(base)
     names = [*stats, *(["base_failed"] if base else []), "kept"]
