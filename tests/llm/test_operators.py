@@ -137,6 +137,24 @@ def test_pieces_keep_tokens():
     for _ in range(150):
         t = "".join(rng.choice(["a", "B", " ", "  ", "\n", "'s", "12", "!?", "é", "the"]) for _ in range(rng.randint(0, 120)))
         assert [x for p in token_counts.pieces(t, 9) for x in e.encode_ordinary(p)] == e.encode_ordinary(t)
+        runs = re.compile(token_counts._BLANK + "{2,}")
+        assert [x for p in token_counts.pieces(t, 9, runs) for x in e.encode_ordinary(p)] == e.encode_ordinary(t)
+
+
+def test_long_white_space_is_counted(spark):
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    e = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    n = 5_000_000
+    single = lambda s: len(e._encode_single_piece(s.encode()))
+    texts = [" " * n + "x", "a" + "\n" * n, "a b" + "\t \u3000" * (n // 3) + "\nc d", " " * token_counts.RUN_CHARS, "\x1f" * 300_000 + "a"]
+    want = [single(" " * (n - 1)) + 1, 1 + single("\n" * n), 2 + single("\t \u3000" * (n // 3)) + 3, single(" " * token_counts.RUN_CHARS), len(e.encode_ordinary("\x1f" * 300_000 + "a"))]
+    assert [token_counts.count_tokens(t, e) for t in texts] == want
+    small = [t[: 3 * token_counts.RUN_CHARS] + "x y" for t in texts]
+    assert [token_counts.count_tokens(t, e) for t in small] == [len(e.encode_ordinary(t)) for t in small]
+    hist = token_counts.length_histogram(spark.createDataFrame([(t,) for t in texts[:2]], "text string"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    assert {r.n_tokens: r.n_docs for r in hist.collect()} == Counter(want[:2])
 
 
 # --- lines ---

@@ -6,7 +6,8 @@ length and task. Suffix sums over the histogram, taken in two levels so that no
 single task holds all lengths, then answer totals, quantiles and truncated
 totals for every context limit without touching a document again.
 
-Defined results: a null or empty text has length 0; null ids and repeated rows
+Defined results: a null or empty text has length 0; a text may be of any length
+and hold runs of white space of any length; null ids and repeated rows
 count like any other row; other columns are ignored; an empty table gives an
 empty histogram, for which totals are 0 and quantiles null.
 """
@@ -26,6 +27,11 @@ from .shared import materialise
 
 #: A text is encoded in pieces of about this many characters, cut only where a token must begin.
 PIECE_CHARS = 1 << 18
+#: A run of white space from this length on is a piece of its own: the pattern's engine would overflow on millions.
+RUN_CHARS = 1 << 14
+#: White space as the pattern's engine knows it.
+_BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_RUN = re.compile(f"{_BLANK}{{{RUN_CHARS},}}")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _encodings: dict[tuple[str, str], object] = {}
 
@@ -40,12 +46,24 @@ def _encoding(path: str, pattern: str):
     return _encodings[path, pattern]
 
 
-def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
+def pieces(text: str, size: int = PIECE_CHARS, run: re.Pattern = _RUN) -> Iterator[str]:
     """The text in parts whose tokens together are the text's tokens.
 
     A space between two characters that aren't white space always opens a token,
-    whatever precedes it, so a cut before it changes nothing.
+    whatever precedes it, so a cut before it changes nothing. A run of white space
+    that more text follows is one split of the pattern up to its last character,
+    which opens the next split; a run at the text's end is one split. So a long run
+    is a part of its own, without its last character where text follows.
     """
+    at = 0
+    for found in run.finditer(text) if len(text) >= RUN_CHARS or run is not _RUN else ():
+        yield from _between(text[at : found.start()], size)
+        at = found.end() - (found.end() < len(text))
+        yield text[found.start() : at]
+    yield from _between(text[at:] if at else text, size)
+
+
+def _between(text: str, size: int) -> Iterator[str]:
     at = 0
     while len(text) - at > size and (cut := _CUT.search(text, at + size)):
         yield text[at : cut.start()]
@@ -54,7 +72,8 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
 
 
 def count_tokens(text: str, encoding) -> int:
-    return sum(len(encoding.encode_ordinary(p)) for p in pieces(text))
+    """Tokens of a whole text; a long run of white space is one split and goes to the merges directly."""
+    return sum(len(encoding._encode_single_piece(p.encode()) if len(p) >= RUN_CHARS - 1 and _RUN.fullmatch(p + " ") else encoding.encode_ordinary(p)) for p in pieces(text))
 
 
 def length_histogram(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
