@@ -518,8 +518,12 @@ def test_cards_beside_other_numbers(spark):
 def test_permutations_are_bijections(spark):
     for size in (1, 2, 3):
         m = spark.range(10**size).select(F.lpad(F.col("id").cast("string"), size, "0").alias("m"))
-        assert m.select(F.expr(pii.permute_digits("m", "'t'", "k"))).distinct().count() == 10**size
+        assert m.select(F.expr(pii.permute_digits("m", "'t'", "'k'"))).distinct().count() == 10**size
     letters = spark.range(26 * 26).select(F.concat(F.chr(97 + F.floor(F.col("id") / 26)), F.chr(97 + F.col("id") % 26)).alias("m"))
-    assert letters.select(F.expr(pii._permute_letters("m", "'t'", "k"))).distinct().count() == 676
+    assert letters.select(F.expr(pii._permute_letters("m", "'t'", "'k'"))).distinct().count() == 676
     days = spark.range(0, 146097).select(F.expr("date_format(date_add(date'1800-01-01', cast(id as int)), 'yyyy-MM-dd')").alias("m"))
-    assert days.select(F.expr(pii._date("m", "k", False)).alias("z")).distinct().count() == 146097
+    assert days.select(F.expr(pii._date("m", "'k'", False)).alias("z")).distinct().count() == 146097
+    american = spark.range(0, 146097).select(F.expr("date_add(date'1800-01-01', cast(id as int))").alias("d")).filter("day(d) > 12").select(F.date_format("d", "MM/dd/yyyy").alias("m"))
+    made = american.select("m", F.expr(pii._date("m", "'k'", False)).alias("z"))
+    assert made.select("z").distinct().count() == made.count() == 221 * 400 + 97
+    assert made.filter(F.expr(pii._date("z", "'k'", True)) == F.col("m")).filter("int(substr(z, 4, 2)) > 12").count() == 221 * 400 + 97

@@ -12,16 +12,21 @@ card     13 to 19 digits that pass Luhn: all but the last are permuted, the
          check digit is computed anew. In a run of numbers parted by single
          spaces or hyphens every span of whole numbers is tried: usual card
          groupings first, then from the left, the longest first
-phone    +country, then ten digits grouped 3-3-4: the ten digits are permuted
+phone    +country, then ten digits grouped 3-3-4: the ten digits are permuted; of
+         country 1 and without a country, (ddd) ddd-dddd, ddd-ddd-dddd and
+         ddd.ddd.dddd are permuted among the numbers whose area and exchange
+         begin with 2 to 9, and others stay
 ipv4     the 32-bit address is permuted
 ssn      3-2-4 digits in the issued ranges: permuted among those
 date     yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy between 1800 and 2199: the day is
-         permuted within that 400-year cycle (146,097 = 189 * 773 days)
+         permuted within that 400-year cycle (146,097 = 189 * 773 days); where
+         only mm/dd/yyyy or mm.dd.yyyy is a day, among the days past the 12th
 email    letters and digits of the local part are permuted, the domain stays
 =======  ==================================================================
 
 Everything is a DataFrame expression. Each text stands alone, so nothing is
-shuffled, and texts without a digit or @ are passed by.
+shuffled, and texts without a digit or @ are passed by. The key is hashed and
+comes in by a one-row subquery, so neither it nor its hash is part of a plan's text.
 
 Defined results: a null or empty text stays as it is; null ids and repeated rows
 are treated like others; other columns stay, and ``pii`` gives way to the output;
@@ -32,6 +37,8 @@ choice is taken; ``back`` can then choose otherwise.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,25 +46,28 @@ ROUNDS = 10
 #: Java regular expressions of candidates, in order of precedence. A match must not touch further word characters.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+_N, _END = "[2-9][0-9]{2}", "(?![0-9A-Za-z]|[.-][0-9])"
+NATIONAL = rf"(?<![0-9A-Za-z+.)-])(?:\({_N}\)[ ]?{_N}-[0-9]{{4}}|{_N}-{_N}-[0-9]{{4}}|{_N}[.]{_N}[.][0-9]{{4}}){_END}"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 #: A whole run of numbers, of any length, up to where another kind of value begins.
-_NEXT = rf"[ -](?!{EMAIL}|{IPV4}|{SSN}|{DATE})"
+_NEXT = rf"[ -](?!{EMAIL}|{NATIONAL}|{IPV4}|{SSN}|{DATE})"
 CARD = rf"(?<![A-Za-z0-9])(?=[0-9](?:(?:{_NEXT})?[0-9]){{12}}[0-9]*+(?![A-Za-z]))[0-9]++(?:{_NEXT}[0-9]++(?![A-Za-z]))*+"
-CANDIDATE = "|".join((EMAIL, PHONE, IPV4, SSN, DATE, CARD))
+CANDIDATE = "|".join((EMAIL, PHONE, NATIONAL, IPV4, SSN, DATE, CARD))
+#: Column that carries the hashed key.
+_KEY = "__key"
+#: Days past the 12th in the months before each month of a common year.
+_PAST = "array(0, 19, 35, 54, 72, 91, 109, 128, 147, 165, 184, 202)"
+_LEAP = "filter(sequence(1800, 2199), y -> y % 4 = 0 and (y % 100 <> 0 or y % 400 = 0))"
 _LETTERS, _DIGITS26 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
 
 
-def _quote(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _feistel(a: str, b: str, m: str, n: str, tweak: str, key: str, back: bool = False) -> str:
     """Struct (a, b) permuted in Z_m x Z_n: odd rounds shift a by a keyed hash of b, even ones b by one of a."""
 
     def value(of: str) -> str:
-        return f"cast(conv(substr(sha2(concat_ws('|', {_quote(key)}, {tweak}, r, {of}), 256), 1, 15), 16, 10) as bigint)"
+        return f"cast(conv(substr(sha2(concat_ws('|', {key}, {tweak}, r, {of}), 256), 1, 15), 16, 10) as bigint)"
 
     sign = "-" if back else "+"
     rounds = f"sequence({ROUNDS}, 1)" if back else f"sequence(1, {ROUNDS})"
@@ -143,8 +153,13 @@ def _cards(m: str, key: str, back: bool) -> str:
 
 
 def _phone(m: str, key: str, back: bool) -> str:
-    new = permute_digits("right(d, 10)", "'phone'", key, back)
-    return _with("d", _digits(m), _with("n", f"concat(left(d, length(d) - 10), {new})", _refill(m, "n")))
+    other = _with("n", f"concat(left(d, length(d) - 10), {permute_digits('right(d, 10)', chr(39) + 'phone' + chr(39), key, back)})", _refill(m, "n"))
+    # 800 areas times 800 exchanges of 10,000 lines: exactly the valid ones
+    area, rest = "cast(substr(t, 1, 3) as int) - 200", "cast(substr(t, 4) as int) - 2000000"
+    run = _feistel(area, rest, "800", "8000000", "'nanp'", key, back)
+    new = "concat(left(d, length(d) - 10), cast(f.a + 200 as string), cast(f.b + 2000000 as string))"
+    own = _with("t", "right(d, 10)", f"if(t rlike '^[2-9][0-9][0-9][2-9]', {_with('f', run, _with('n', new, _refill(m, 'n')))}, null)")
+    return _with("d", _digits(m), f"if(length(d) = 10 or (length(d) = 11 and left(d, 1) = '1'), {own}, {other})")
 
 
 def _ipv4(m: str, key: str, back: bool) -> str:
@@ -168,7 +183,20 @@ def _date(m: str, key: str, back: bool) -> str:
     day = _with("k", "datediff(v, date'1800-01-01')", f"if(k between 0 and 146096, {_feistel('k div 773', 'k % 773', '189', '773', chr(39) + 'date' + chr(39), key, back)}, null)")
     new = _with("f", day, "date_add(date'1800-01-01', cast(f.a * 773 + f.b as int))")
     text = f"if({m} like '____-__-__', date_format(n, 'yyyy-MM-dd'), date_format(n, if({m} like '__/__/____', 'dd/MM/yyyy', 'dd.MM.yyyy')))"
-    return _with("v", f"try_cast({iso} as date)", f"if(v is null, null, {_with('n', new, text)})")
+    other = f"if({m} like '____-__-__', null, {_month_first(m, key, back)})"
+    return _with("v", f"try_cast({iso} as date)", f"if(v is null, {other}, {_with('n', new, text)})")
+
+
+def _month_first(m: str, key: str, back: bool) -> str:
+    """A day past the 12th with its month in front: 221 days times 400 years, and 29 February of 97 years by itself."""
+    run = _feistel("year(v) - 1800", f"{_PAST}[month(v) - 1] + day(v) - 13", "400", "221", "'day'", key, back)
+    month = f"size(filter({_PAST}, x -> x <= f.b))"
+    common = _with("f", run, _with("w", month, f"make_date(cast(f.a + 1800 as int), w, cast(13 + f.b - {_PAST}[w - 1] as int))"))
+    leap = _with("f", _feistel(f"array_position({_LEAP}, year(v)) - 1", "0", "97", "1", "'leap'", key, back), f"make_date({_LEAP}[cast(f.a as int)], 2, 29)")
+    text = f"date_format(n, if({m} like '__/__/____', 'MM/dd/yyyy', 'MM.dd.yyyy'))"
+    new = _with("n", f"if(date_format(v, 'MMdd') = '0229', {leap}, {common})", text)
+    value = f"try_cast(concat_ws('-', substr({m}, 7, 4), substr({m}, 1, 2), substr({m}, 4, 2)) as date)"
+    return _with("v", value, f"if(v is null or year(v) not between 1800 and 2199, null, {new})")
 
 
 def _email(m: str, key: str, back: bool) -> str:
@@ -181,7 +209,7 @@ def _email(m: str, key: str, back: bool) -> str:
 
 def _pseudonym(m: str, key: str, back: bool) -> str:
     """Array of (kind, value, piece), the pieces of the match: value is null where a piece isn't valid."""
-    kinds = (("email", "like '%@%'", _email), ("phone", "like '+%'", _phone), ("ipv4", r"rlike '^[0-9]{1,3}([.][0-9]{1,3}){3}$'", _ipv4), ("ssn", "rlike '^[0-9]{3}-[0-9]{2}-[0-9]{4}$'", _ssn), ("date", "rlike '^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$'", _date))
+    kinds = (("email", "like '%@%'", _email), ("phone", r"rlike '^([+(]|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$)'", _phone), ("ipv4", r"rlike '^[0-9]{1,3}([.][0-9]{1,3}){3}$'", _ipv4), ("ssn", "rlike '^[0-9]{3}-[0-9]{2}-[0-9]{4}$'", _ssn), ("date", "rlike '^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$'", _date))
     cases = " ".join(f"when {m} {test} then array(named_struct('kind', '{kind}', 'value', {make(m, key, back)}, 'piece', {m}))" for kind, test, make in kinds)
     return f"case {cases} else {_cards(m, key, back)} end"
 
@@ -196,9 +224,14 @@ def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     worth = text.rlike("[0-9@]") & text.rlike(CANDIDATE)
     found = F.when(worth, F.regexp_extract_all(text, pattern, F.lit(0)))
     rest = F.when(worth, F.split(text, CANDIDATE, -1))
-    rows = docs.drop("pii").withColumns({"__found": found, "__rest": rest})
-    rows = rows.withColumn("__new", F.expr(f"transform(__found, m -> {_pseudonym('m', key, back)})"))
+    hashed = docs.sparkSession.createDataFrame([(hash_key(key),)], f"{_KEY} string")
+    rows = docs.drop("pii").withColumns({"__found": found, "__rest": rest, _KEY: hashed.scalar()})
+    rows = rows.withColumn("__new", F.expr(f"transform(__found, m -> {_pseudonym('m', _KEY, back)})"))
     glued = F.expr("array_join(zip_with(__rest, transform(__new, n -> array_join(transform(n, p -> coalesce(p.value, p.piece)), '')), (r, v) -> concat(r, coalesce(v, ''))), '')")
     rows = rows.withColumn("text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(glued))
     rows = rows.withColumn("pii", F.coalesce(F.expr("transform(filter(flatten(__new), n -> n.value is not null), n -> named_struct('kind', n.kind, 'value', n.value))"), F.expr("cast(array() as array<struct<kind: string, value: string>>)")))
-    return rows.drop("__found", "__rest", "__new")
+    return rows.drop("__found", "__rest", "__new", _KEY)
+
+
+def hash_key(key: str) -> str:
+    return hashlib.sha256(f"vestigo feistel {key}".encode()).hexdigest()

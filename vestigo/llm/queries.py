@@ -69,9 +69,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, _vocabulary("word_bpe_49k.json"), ("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
 
 
+#: Setting that holds the key of pseudonyms; Spark redacts settings with this word in their name.
+PII_KEY = "spark.vestigo.pii.secret"
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document that holds a personal value, with its text after the change."""
-    rows = pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), key="vestigo")
+    rows = pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), spark.conf.get(PII_KEY, "vestigo"))
     kinds = F.array_sort(F.array_distinct(F.col("pii.kind")))
     return rows.filter(F.size("pii") > 0).select("doc_id", F.size("pii").cast("long").alias("n_values"), F.array_join(kinds, ",").alias("kinds"), "text")
 
