@@ -293,6 +293,51 @@ def test_near_components(docs, none, monkeypatch, size, percent, cell):
     assert near_dedup.near_components(none).count() == 0
 
 
+def _sentence(rng, n):
+    return " ".join(rng.choice("abcdefgh") + str(rng.randrange(50)) for _ in range(n))
+
+
+def test_rows_of_one_id_are_one_document(spark, monkeypatch):
+    """Repeated and null ids with different texts, each text with near and exact copies elsewhere, over small cells."""
+    monkeypatch.setattr(near_dedup, "CELL", 4)
+    monkeypatch.setattr(near_dedup, "FOLLOWERS", 3)
+    rng = random.Random(12)
+
+    def near(t, k):
+        w = t.split()
+        for _ in range(k):
+            w[rng.randrange(len(w))] = "new" + str(rng.randrange(9))
+        return " ".join(w)
+
+    a, b, c, d = (_sentence(rng, 150) for _ in range(4))
+    rows = [(1, a), (1, b), (2, near(b, 2)), (9, near(a, 1)), (3, c), (None, c), (None, d), (4, near(d, 2)), (4, ""), (5, near(d, 1)), (6, None), (6, a), (7, ""), (1, a), (1, a)]
+    rows += [(None, _sentence(rng, 30)) for _ in range(20)] + [(50, near(c, k % 9)) for k in range(30)] + [(100 + k, near(b, 12 + k % 3)) for k in range(40)] + [(200 + k, a) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for size, percent in ((3, 85), (5, 80), (1, 90)):
+        want = _components(rows, size, percent)
+        assert _columns(near_dedup.near_components(df, size, percent), "doc_id", "n_shingles", "component_id", "kept") == want
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_at_the_threshold_share_a_band(percent):
+    """Recall of the bands and the sketch floor on random pairs at the threshold, against their exact similarity."""
+    rng = np.random.default_rng(percent)
+    bands, rows = near_dedup.bands_for(percent)
+    missed = below = 0
+    for _ in range(600):
+        union = int(rng.integers(40, 400))
+        common = -(-percent * union // 100)
+        pool = rng.integers(0, 2**63, union, dtype=np.uint64)
+        cut = common + (union - common) // 2
+        a, b = np.sort(pool[:cut]), np.sort(np.concatenate([pool[:common], pool[cut:]]))
+        assert near_dedup._near(a, b, percent)
+        s = near_dedup.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        same = (s[0] == s[1])[: bands * rows].reshape(bands, rows).all(axis=1)
+        missed += not same.any()
+        below += ((s[0] & 255) == (s[1] & 255)).sum() < near_dedup.floor_for(percent)
+    assert missed == below == 0
+
+
 def test_signatures_agree_as_often_as_sets_overlap():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)
