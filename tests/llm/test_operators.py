@@ -401,8 +401,39 @@ def test_substring_dedup(spark, docs, none, segment):
 # --- shards ---
 
 
-@pytest.mark.parametrize("bucket", [1 << 24, 4000])
-def test_shards(docs, none, bucket):
+def _sharded(rows, shards, seed, buckets):
+    """(doc_id, text, shard, slot) of every record by a plain external shuffle."""
+    import struct
+
+    import xxhash
+
+    def tag(i, t):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        h = h if i is None else xxhash.xxh64_intdigest(struct.pack("<q", i), h)
+        h = h if t is None else xxhash.xxh64_intdigest(t.encode(), h)
+        return h - (h >> 63 << 64)
+
+    held = defaultdict(list)
+    for i, t in rows:
+        held[tag(i, t) % buckets].append((tag(i, t), i is None, i or 0, t))
+    out = []
+    for b in sorted(held):
+        records = sorted(held[b], key=lambda r: r[:3])
+        high = np.arange(1, len(records) + 1)
+        draws = np.random.Generator(np.random.PCG64([seed, b])).integers(0, high)
+        for k in range(len(records))[:0:-1]:
+            records[k], records[draws[k]] = records[draws[k]], records[k]
+        out += records
+    n, laid = len(out), []
+    for p, (_, null, i, t) in enumerate(out):
+        s = p * shards // n
+        laid.append((None if null else i, t, s, p - min(q for q in range(p + 1) if q * shards // n == s)))
+    return _sorted(laid)
+
+
+@pytest.mark.parametrize(("bucket", "most"), [(1 << 24, 20_000), (4000, 20_000), (4000, 3)])
+def test_shards(docs, none, bucket, most, monkeypatch):
+    monkeypatch.setattr(sharding, "MOST", most)
     rows = sharding.external_shuffle(docs, 7, bucket_bytes=bucket).collect()
     assert _sorted((r.doc_id, r.text) for r in rows) == _sorted(ROWS)
     by = defaultdict(list)
@@ -417,6 +448,25 @@ def test_shards(docs, none, bucket):
     assert sharding.external_shuffle(none, 7).count() == 0
 
 
+def test_shards_like_a_plain_shuffle(spark, docs):
+    got = sharding.external_shuffle(docs, 7)
+    assert _columns(got, "doc_id", "text", "shard", "slot") == _sharded(ROWS, 7, 42, sharding.FEWEST)
+    few = [r for r in ROWS if r[0] not in (800, 801)]
+    total = sum(8 + 8 + len((t or "").encode()) for _, t in few)
+    df = spark.createDataFrame(few, "doc_id long, text string").repartition(3)
+    assert _columns(sharding.external_shuffle(df, 5, seed=9, bucket_bytes=700), "doc_id", "text", "shard", "slot") == _sharded(few, 5, 9, max(32, -(-total // 700)))
+
+
+def test_a_record_in_very_many_copies_is_dealt_to_many_buckets(spark, tmp_path):
+    rows = [(None, "the same record " * 20)] * 3000 + [(k, f"record {k}") for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sharding.external_shuffle(df, 40)
+    runs = sorted((r.shard, r.slot, r.doc_id is None) for r in got.select("shard", "slot", "doc_id").collect())
+    assert _sorted((r.doc_id, r.text) for r in got.collect()) == _sorted(rows) and len({s for s, _, copy in runs if copy}) == 40
+    sharding.write_shards(got, f"{tmp_path}/shards")
+    assert spark.read.parquet(f"{tmp_path}/shards").filter("shard = 3").count() == sum(s == 3 for s, _, _ in runs)
+
+
 def test_crc(spark):
     t = "é\x00z"
     assert spark.createDataFrame([(t,)], "t string").select(F.crc32(F.col("t").cast("binary")).alias("c")).first().c == zlib.crc32(t.encode())
@@ -437,11 +487,79 @@ def _stats(t):
             dups += s in seen
             seen.add(s)
     s = dict(n_words=len(w), word_chars=sum(map(len, w)), n_symbols=len(re.findall(r"[#*$%&|<>]", t)), n_lines=len(lines), n_dup_lines=dups, n_repeat_words=len(cover))
-    base = s["n_words"] < 20 or 100 * s["n_repeat_words"] > 30 * s["n_words"]
-    good = 10 * s["n_symbols"] <= s["n_words"] and 3 * s["n_words"] <= s["word_chars"] <= 12 * s["n_words"] and 2 * dups <= len(lines)
+    n = s["n_words"]
+    base = n < 20 or 100 * s["n_repeat_words"] > 30 * n
+    good = 10 * s["n_symbols"] <= n and 3 * n <= s["word_chars"] <= 12 * n and 2 * dups <= len(lines)
+    m = _more_stats(t)
+    good = good and 2 * m["n_upper_words"] <= n and 5 * m["n_exclamations"] <= n and 10 * m["n_alpha_words"] >= 8 * n
+    good = good and 10 * m["n_bullet_lines"] <= 9 * m["n_word_lines"] and 10 * m["n_ellipsis_lines"] <= 3 * m["n_word_lines"]
+    good = good and (m["n_top_bigram"] < 5 or 10 * m["n_top_bigram"] <= n) and (n < 50 or m["n_function_words"] > 0)
     return (*s.values(), base, not base and good)
 
 
+def _more_stats(t):
+    w = WORD.findall(t or "")
+    lines = [s for s in (t or "").split("\n") if WORD.search(s)]
+    return dict(
+        n_upper_words=sum(bool(re.search("[A-Z]", x)) and not re.search("[a-z]", x) for x in w),
+        n_exclamations=(t or "").count("!"),
+        n_alpha_words=sum(bool(re.search("[A-Za-z\x80-\U0010ffff]", x)) for x in w),
+        n_word_lines=len(lines),
+        n_bullet_lines=sum(WORD.findall(s)[0][0] in "-*•" for s in lines),
+        n_ellipsis_lines=sum(WORD.findall(s)[-1].endswith(("...", "…")) for s in lines),
+        n_top_bigram=max(Counter(zip(w, w[1:], strict=False)).values(), default=0),
+        n_function_words=sum(x.translate(LOW) in quality.FUNCTION_WORDS for x in w),
+    )
+
+
+JUNK = [
+    "LOUD WORDS!! ÉÀ!! " * 12, "- one\n  • two\n* three\n" * 9, "well... \nso…\t\nand ...\r\n" * 8, "12 34 == -- " * 9 + "word", "a b " * 30 + " ".join(f"w{k}" for k in range(40)), " ".join(f"xq{k}" for k in range(60)),
+    "The of AND\x00 the\x00 " + " ".join(f"xq{k}" for k in range(60)), "!", "…", ".. ...", "-", "\n\n-\n", "A", "é É", "…a", "a…", "•", "x" * 9 + " the",
+]
+
+
+def test_statistics_of_rules():
+    texts = [t for _, t in ROWS] + JUNK
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    rng = random.Random(3)
+    for size in (60, 5000, 1 << 20):
+        at = 0
+        for part in W.blocks(batch, size=size):
+            stats = quality.TextStats(part.column(0))
+            own = texts[at : at + part.num_rows]
+            at += part.num_rows
+            half = sorted(rng.sample(range(len(own)), rng.randint(0, len(own))))
+            for seen, of in ((stats, own), (quality.TextStats(part.column(0)).take(np.array(half, np.int64)), [own[k] for k in half]), (stats.take(np.array(half, np.int64)), [own[k] for k in half])):
+                want = [_more_stats(t) for t in of]
+                for name in _more_stats(""):
+                    assert getattr(seen, name).tolist() == [m[name] for m in want], name
+                for name, k in (("n_words", 0), ("n_symbols", 2), ("n_lines", 3), ("n_dup_lines", 4), ("n_repeat_words", 5)):
+                    assert getattr(seen, name).tolist() == [_stats(t)[k] for t in of], name
+
+
+def test_rules_run_on_what_is_left(spark):
+    rng = random.Random(8)
+    good = " ".join(f"the w{rng.randrange(900)}" for _ in range(60))
+    rows = [(k, t * 4 if len(t) > 20 else t) for k, t in enumerate(JUNK)] + [(100 + k, good) for k in range(20)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    every = quality.BASE_RULES + quality.RULES
+    plain = {k: [not _stats(t)[-1]] for k, t in rows}
+    for order in (every, every[::-1], quality.plan_order(df, every)):
+        got = quality.cascade(df, order, runs="ran").collect()
+        assert {r.doc_id: [not r.kept] for r in got} == plain
+        assert all(r.ran == len(every) for r in got if r.kept) and sum(r.ran for r in got) < len(every) * len(rows)
+        assert all(r.ran >= 1 for r in got)
+    op8 = quality.cascade(df, quality.RULES, quality.STATS, quality.BASE_RULES, runs="ran").collect()
+    assert all((r.ran == 0) == r.base_failed for r in op8)
+
+
+def test_order_by_conditional_rejections():
+    # rule 0 rejects a and b, rule 1 rejects b and c, rule 2 rejects b only: behind rule 1, rule 2 has nothing left
+    assert quality.best_order({0b001: 5, 0b111: 10, 0b010: 8, 0: 100}, [1.0, 1.0, 0.9]) == [1, 0, 2]
+    assert quality.best_order({0b001: 5, 0b111: 10, 0b010: 8, 0: 100}, [1.0, 1.0, 0.1]) == [2, 1, 0]
+    assert quality.best_order({}, [0.3, 0.1]) == [1, 0]
+
+
 def test_quality(docs, none):
     want = _sorted((i, *_stats(t)) for i, t in ROWS)
     rules = quality.plan_order(docs, quality.RULES)

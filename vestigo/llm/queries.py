@@ -33,9 +33,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record is rebuilt from the archive, and what is returned comes from its bytes."""
     archive = warc.write_archive(_table(spark, sf_dir, "pages"))
-    rows = warc.read_archive(spark, archive, payload=False)
-    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    rows = warc.parse_records(warc.read_archive(spark, archive))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_bytes")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,13 +130,23 @@ cover AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(rang
 lines AS (SELECT doc_id, unnest(ls) AS line FROM t),
 dups AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS n FROM (SELECT doc_id, line, count(*) AS n FROM lines
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line) GROUP BY doc_id),
+marks AS (SELECT doc_id, count(*) AS n, count(*) FILTER (regexp_matches(line, '^[\x20\x09-\x0D]*(-|[*]|•)')) AS bullets,
+    count(*) FILTER (regexp_matches(line, '([.][.][.]|…)[\x20\x09-\x0D]*$')) AS ellipses FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+pairs AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, g, count(*) AS n FROM (SELECT doc_id, w[i] || ' ' || w[i + 1] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM t)) GROUP BY doc_id, g) GROUP BY doc_id),
 s AS (SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    coalesce(dups.n, 0) AS n_dup_lines, CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines
-    FROM t LEFT JOIN cover ON cover.doc_id = t.doc_id LEFT JOIN dups ON dups.doc_id = t.doc_id),
+    coalesce(dups.n, 0) AS n_dup_lines, CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines,
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper, length(text) - length(replace(text, '!', '')) AS n_exclamations,
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_alpha, coalesce(marks.n, 0) AS n_word_lines, coalesce(bullets, 0) AS bullets,
+    coalesce(ellipses, 0) AS ellipses, coalesce(pairs.n, 0) AS top_pair,
+    len(list_filter(w, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') IN ('the', 'of', 'and', 'to', 'a', 'in', 'that', 'is', 'der', 'die', 'und', 'den', 'das', 'ist', 'zu',
+        'la', 'de', 'et', 'le', 'les', 'un', 'une', 'des', 'que', 'el', 'los', 'en', 'y'))) AS n_function
+    FROM t LEFT JOIN cover ON cover.doc_id = t.doc_id LEFT JOIN dups ON dups.doc_id = t.doc_id LEFT JOIN marks ON marks.doc_id = t.doc_id LEFT JOIN pairs ON pairs.doc_id = t.doc_id),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND 10 * n_symbols <= n_words AND word_chars >= 3 * n_words AND word_chars <= 12 * n_words
-    AND 2 * n_dup_lines <= n_lines AS kept
+    AND 2 * n_dup_lines <= n_lines AND 2 * n_upper <= n_words AND 5 * n_exclamations <= n_words AND 10 * n_alpha >= 8 * n_words
+    AND 10 * bullets <= 9 * n_word_lines AND 10 * ellipses <= 3 * n_word_lines AND (top_pair < 5 OR 10 * top_pair <= n_words)
+    AND (n_words < 50 OR n_function > 0) AS kept
 FROM b""",
 }

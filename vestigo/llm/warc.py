@@ -116,3 +116,27 @@ def read_archive(spark: SparkSession, archive: Archive, payload: bool = True) ->
         body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
         joined = joined.withColumn("record", F.concat("header", body, F.lit(b"\r\n\r\n")))
     return joined
+
+
+def parse_records(rows: DataFrame) -> DataFrame:
+    """page_id, record_type, refers_to, payload_bytes, payload_digest and record_bytes from the bytes of rebuilt records.
+
+    A response's payload is what its record holds, a revisit's is the one behind its digest. Digest and
+    length are computed from those bytes; a record that is longer or shorter than its header says stops the read.
+    """
+    head = F.substring_index(F.decode("record", "ISO-8859-1"), "\r\n\r\n", 1)
+    field = lambda name: F.regexp_extract(F.concat("fields", F.lit("\r\n")), f"(?:^|\\r\\n){name}: ([^\\r\\n]*)\\r\\n", 1)
+    number = lambda urn: F.expr(f"try_cast(substring_index(substring_index({urn}, '{_URN}', -1), '>', 1) as long)")
+    rows = rows.select("record", "payload", head.alias("fields")).withColumns({"kind": field("WARC-Type"), "id": field("WARC-Record-ID"), "to": field("WARC-Refers-To"), "length": field("Content-Length").cast("long")})
+    at = F.char_length("fields") + 5  # fields are read byte by byte, so characters count bytes
+    block = F.substr("record", at, F.octet_length("record") - at - 3)
+    rows = rows.withColumn("block", block)
+    body_at = F.expr("position(X'0D0A0D0A', block) + 4")
+    body = F.when(F.col("kind") == "response", F.expr("substring(block, position(X'0D0A0D0A', block) + 4)")).otherwise(F.col("payload"))
+    right = (F.octet_length("block") == F.col("length")) & (body_at > 4)
+    wrong = F.raise_error(F.lit("a record's length is not that of its header")).cast("binary")
+    rows = rows.withColumn("body", F.when(right, body).otherwise(wrong))
+    return rows.select(
+        number("id").alias("page_id"), F.col("kind").alias("record_type"), F.when(F.col("kind") == "revisit", number("to")).alias("refers_to"),
+        F.octet_length("body").cast("long").alias("payload_bytes"), F.sha1("body").alias("payload_digest"), F.octet_length("record").cast("long").alias("record_bytes"),
+    )

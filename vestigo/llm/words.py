@@ -94,6 +94,24 @@ class Words:
         self.count = np.diff(self.bound)
         self._hash: np.ndarray | None = None
 
+    def take(self, rows: np.ndarray) -> Words:
+        """The words of some of the texts, in the given order."""
+        out = object.__new__(Words)
+        start, stop = self.first - 1, np.append(self.first[1:] - 1, len(self.buf) - 1)
+        size = (stop - start)[rows]
+        pick = lambda buf: np.concatenate([*(buf[a:b] for a, b in zip(start[rows].tolist(), stop[rows].tolist(), strict=True)), buf[-1:]])
+        out.buf = pick(self.buf)
+        out.raw = out.buf if self.raw is self.buf else pick(self.raw)
+        out.texts, out.count = len(rows), self.count[rows]
+        at = np.concatenate([[0], np.cumsum(size)])
+        out.first = at[:-1] + 1
+        out.bound = np.concatenate([[0], np.cumsum(out.count)])
+        word = np.arange(out.bound[-1]) + np.repeat(self.bound[:-1][rows] - out.bound[:-1], out.count)
+        shift = np.repeat(at[:-1] - start[rows], out.count)
+        out.start, out.end = self.start[word] + shift, self.end[word] + shift
+        out._hash = None if self._hash is None else self._hash[word]
+        return out
+
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
