@@ -18,10 +18,11 @@ Steps, none of which gathers an unbounded group in one task or on the driver:
 4. Components of these links, and of links between the nodes of one doc_id, settle
    all pairs inside a component. Buckets that still hold several components are
    dealt as a grid of bounded cells, where the pairs between components that no
-   leader settled are checked: pairs meet in the first band they share and are
-   passed over where their sketches agree in so few coordinates that the threshold
-   is out of reach (``floor_for``). Full sets come only to the members of a cell
-   that have a pair left, and decide it.
+   leader settled are checked: members of the largest component meet the others,
+   which meet each other. Pairs meet in the first band they share and are passed
+   over where their sketches agree in so few coordinates that the threshold is out
+   of reach (``floor_for``). Full sets come only to the members of a cell that have
+   a pair left, and decide it.
 5. Links found there join components to the final ones.
 
 A pair at the threshold shares no band with a probability under 1e-8 for the
@@ -49,8 +50,8 @@ from .shared import id_in, id_out, materialise, shuffle_width
 from .words import BLOCK_BYTES, Words, blocks, mix
 
 COORDINATES = 160
-#: Members of a bucket that meet in one cell, from either side.
-CELL = 512
+#: Members of a bucket that meet in one cell from either side, and bytes of their sets.
+CELL, CELL_BYTES = 4096, 32 << 20
 #: Members that are checked against one copy of their leader's set.
 FOLLOWERS = 4096
 #: Bound of the chance that a pair at the threshold shares no band, and of that its sketches agree in too few coordinates.
@@ -217,8 +218,9 @@ def _cell_pairs(rows: dict, percent: int, done=lambda i, j: False):
     comp, chunk, (left, right), band, keys, sketch = (rows[k] for k in ("comp", "chunk", "cell", "band", "bands", "sketch"))
     one, two = np.flatnonzero(chunk == left), np.flatnonzero(chunk == right)
     floor = floor_for(percent)
-    for i in one.tolist():
-        others = two[two > i] if left == right else two
+    sides = [(i, left == right) for i in one.tolist()] + [(i, True) for i in two.tolist() if left == _FIRST]
+    for i, same_side in sides:
+        others = two[two > i] if same_side else two
         others = others[comp[others] != comp[i]]
         if not len(others):
             continue
@@ -250,6 +252,8 @@ def _cell_links(rows: dict, percent: int, bands: int) -> list[tuple[int, int]]:
 
 
 _CELL = ["bucket", "left", "right"]
+#: The first chunk of a bucket's largest component; its others count down from there.
+_FIRST = -1
 
 
 def _by_cell(rows: DataFrame, look, schema: str) -> DataFrame:
@@ -288,13 +292,23 @@ def _by_cell(rows: DataFrame, look, schema: str) -> DataFrame:
 def _check_cells(crowd: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, bands: int) -> DataFrame:
     """Links that no leader shows, in buckets that hold several components."""
     known = crowd.filter("size > 2 and node <> leader").join(comps, "node", "left")
-    known = known.select("bucket", "band", "node", F.coalesce("component", "node").alias("comp"))
-    open_ = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.expr(f"cast(ceil(count(*) / {CELL}) as int)").alias("fan")).filter("lo <> hi")
+    known = known.select("bucket", "band", "node", "n_shingles", F.coalesce("component", "node").alias("comp"))
+    parts = known.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    open_ = parts.groupBy("bucket").agg(F.max(F.struct("n", "size", "comp")).alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size")).filter("n > main.n")
+    chunks = lambda n, size: F.greatest(F.ceil(n / CELL), F.ceil(8 * size / CELL_BYTES)).cast("int")
+    wide = {"fan": chunks(F.col("main.n"), F.col("main.size")), "rest": chunks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size"))}
     # Written first: where its size is small, the join then leaves the members of a hot bucket where they lie.
-    open_ = materialise(open_.select("bucket", "fan"), "open")
-    rows = known.join(open_, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("fan")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)))
-    rows = rows.select("bucket", F.least("chunk", "other").alias("left"), F.greatest("chunk", "other").alias("right"), "band", "node", "comp", "chunk")
+    open_ = materialise(open_.withColumns(wide).select("bucket", F.col("main.comp").alias("main"), "fan", "rest"), "open")
+    # The largest component's members meet the others, which meet each other; of a grid of chunks each cell holds two.
+    mine = F.col("comp") == F.col("main")
+    chunk = F.when(mine, _FIRST - F.pmod(F.xxhash64("node"), F.col("fan"))).otherwise(F.pmod(F.xxhash64("node"), F.col("rest"))).cast("int")
+    rows = known.join(open_, "bucket").withColumn("chunk", chunk)
+    numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.transform(numbers("rest"), lambda j: F.struct(F.col("chunk").alias("left"), j.alias("right")))
+    across = F.transform(numbers("fan"), lambda i: F.struct((_FIRST - i).alias("left"), F.col("chunk").alias("right")))
+    among = F.transform(F.filter(numbers("rest"), lambda j: j != F.col("chunk")), lambda j: F.struct(F.least("chunk", j).alias("left"), F.greatest("chunk", j).alias("right")))
+    rows = rows.withColumn("cell", F.explode(F.when(mine, own).otherwise(F.concat(across, among))))
+    rows = rows.select("bucket", "cell.left", "cell.right", "band", "node", "comp", "chunk")
     rows = materialise(rows.join(reps.select("node", "bands", "sketch"), "node"), "cells")
 
     def candidates(cell):
@@ -329,8 +343,8 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     own = [F.col("rep").alias("doc_id"), *marks, "node"]
     reps = sig.filter("bands is not null").join(classes.select(*own).hint("shuffle_hash"), ["doc_id", *marks]).dropDuplicates(["doc_id", *marks])
-    reps = materialise(reps.select("node", "doc_id", "tag", "mark1", "bands", "sketch"), "representatives")
-    keyed = reps.select("node", F.posexplode("bands").alias("band", "bucket"))
+    reps = materialise(reps.select("node", "doc_id", "tag", "n_shingles", "mark1", "bands", "sketch"), "representatives")
+    keyed = reps.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     shared = materialise(keyed.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1"), "buckets")
     crowded = (shared.agg(F.sum("size").alias("n")).first()["n"] or 0) // (4 * width)
     crowd = materialise(_join_hot(keyed, shared, ["bucket"], shared.filter(F.col("size") > crowded)), "crowd")
