@@ -33,6 +33,7 @@ from .shared import id_in, id_out, shuffle_width
 
 _SPACE = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TAGS = ["row_tag1", "row_tag2"]
 #: Documents in the sample that finds keys to be dealt over several ranges.
 LAYOUT_SAMPLE_DOCS = 20_000
 
@@ -44,17 +45,23 @@ def line_key(line: Column) -> Column:
     return F.when(ascii_only, F.lower(stripped)).otherwise(F.translate(stripped, _UPPER, _UPPER.lower()))
 
 
+def _tags(text: Column) -> tuple[Column, Column]:
+    """128 bits that tell rows of one doc_id apart."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(id_in().alias("doc_id"), text.alias("text")).withColumn("row_tag", F.hash("text"))
+    tags = dict(zip(_TAGS, _tags(F.col("text")), strict=True))
+    return docs.select(id_in().alias("doc_id"), text.alias("text")).withColumns(tags)
 
 
 def line_hashes(rows: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, doc_id, row_tag, pos) of every line whose key is long enough."""
-    lines = rows.select("doc_id", "row_tag", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = lines.filter(F.char_length("line") >= min_chars).select("doc_id", "row_tag", "pos", line_key(F.col("line")).alias("key"))
+    """(h1, h2, doc_id, row_tag1, row_tag2, pos) of every line whose key is long enough."""
+    lines = rows.select("doc_id", *_TAGS, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    lines = lines.filter(F.char_length("line") >= min_chars).select("doc_id", *_TAGS, "pos", line_key(F.col("line")).alias("key"))
     lines = lines.filter(F.char_length("key") >= min_chars)
-    return lines.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "row_tag", "pos")
+    return lines.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", *_TAGS, "pos")
 
 
 def _wide_keys(rows: DataFrame, min_chars: int, ranges: int) -> list[tuple[int, int, int]]:
@@ -69,7 +76,7 @@ def _wide_keys(rows: DataFrame, min_chars: int, ranges: int) -> list[tuple[int,
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """(doc_id, row_tag, pos) of every line that goes."""
+    """(doc_id, row_tag1, row_tag2, pos) of every line that goes."""
     spark = docs.sparkSession
     ranges = shuffle_width(spark)
     rows = _rows(docs)
@@ -90,14 +97,15 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Da
     if wide:
         later = F.coalesce(F.col("doc_id") != F.col("last_doc"), later)
         enough = F.coalesce(F.col("all_docs") >= min_docs, enough)
-    return ranked.withColumn("goes", later & enough).filter("goes").select("doc_id", "row_tag", "pos")
+    return ranked.withColumn("goes", later & enough).filter("goes").select("doc_id", *_TAGS, "pos")
 
 
 def keep_bitmaps(dropped: DataFrame) -> DataFrame:
     """One row per document that loses lines: ``drops`` maps a 64-line word to its dropped bits."""
     bit = F.expr("shiftleft(1L, pos % 64)")
-    words = dropped.repartition("doc_id").groupBy("doc_id", "row_tag", F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
-    return words.groupBy("doc_id", "row_tag").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("drops"))
+    # Combined where the lines lie: the copies of one row have a line in one range, so they leave one row a task.
+    words = dropped.groupBy("doc_id", *_TAGS, F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return words.groupBy("doc_id", *_TAGS).agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("drops"))
 
 
 _KEEP = "filter(split(text, '\\n', -1), (line, i) -> (coalesce(try_element_at({0}, cast(i div 64 as int)), 0L) & shiftleft(1L, i % 64)) = 0)"
@@ -107,7 +115,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     """doc_id, n_lines, n_dropped, kept_text and drops (the bitmap, null where nothing goes)."""
     maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).hint("shuffle_hash")
     dropped = F.expr("aggregate(map_values(drops), 0L, (n, bits) -> n + bit_count(bits))")
-    return _rows(docs).join(maps, ["doc_id", "row_tag"], "left").select(
+    return _rows(docs).join(maps, ["doc_id", *_TAGS], "left").select(
         id_out().alias("doc_id"),
         F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
         F.when(F.col("drops").isNull(), F.lit(0)).otherwise(dropped).cast("long").alias("n_dropped"),
@@ -118,10 +126,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
 
 def without_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs``, all columns, with repeated lines gone from ``text`` and ``n_chars``, if there, brought up to date."""
-    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).toDF("__id", "__tag", "__drops")
+    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).toDF("__id", "__tag1", "__tag2", "__drops")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumns({"__id": id_in(), "__tag": F.hash(text)})
-    rows = marked.join(maps.hint("shuffle_hash"), ["__id", "__tag"], "left")
+    one, two = _tags(text)
+    marked = docs.withColumns({"__id": id_in(), "__tag1": one, "__tag2": two})
+    rows = marked.join(maps.hint("shuffle_hash"), ["__id", "__tag1", "__tag2"], "left")
     new = {"text": F.when(F.col("__drops").isNull(), F.col("text")).otherwise(F.array_join(F.expr(_KEEP.format("__drops")), "\n"))}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("__drops").isNull(), F.col("n_chars")).otherwise(F.char_length(new["text"]).cast("long"))

@@ -22,9 +22,10 @@ dictionary's suffixes of LENGTH bytes, the windows themselves, sorted by hash an
 position. The order of longer suffixes isn't needed and isn't built, which keeps
 the work per corpus byte constant. A repetitive text leaves few phrases.
 
-Texts go through in blocks. Repeats inside a block are settled there, so a
-phrase that a third of all documents hold leaves one row per block, not one per
-document; at 100 TB that is one row per MB for the most common phrase.
+Texts go through in blocks. Repeats inside a block are settled there, and a task
+keeps the first places of MET strings in mind, so a phrase that a third of all
+documents hold leaves a row only where its place precedes all that the task met
+before: some five rows per task in a random order, not one per document.
 
 Phrases are compared by 128 bits of hash (gram and phrase), windows likewise.
 
@@ -54,6 +55,8 @@ GRAM = 40
 PIECE = 8
 #: Bytes of a text that are parsed at once; longer texts continue with an overlap.
 SEGMENT = 4 << 20
+#: Strings whose first place a task keeps in mind.
+MET = 1 << 18
 _U = np.uint64
 _POSITION = _U(0xFFFFFF)  # low bits of a sliding-minimum key hold the place, so SEGMENT < 2**24
 
@@ -132,7 +135,7 @@ def _spans(owner: np.ndarray, start: np.ndarray, end: np.ndarray, texts: int) ->
 
 
 def _first_of(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that open their key's group in corpus order, and rows that come strictly later."""
+    """Rows at their key's first place in the corpus, and rows at a later one."""
     order = np.lexsort((start, doc, key))
     k, d, s = key[order], doc[order], start[order]
     opens = np.ones(len(k), bool)
@@ -140,11 +143,13 @@ def _first_of(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.n
     group = np.cumsum(opens) - 1
     head = np.flatnonzero(opens)
     later = (d != d[head][group]) | (s != s[head][group])
-    return order[opens], order[later]
+    return order[~later], order[later]
 
 
-_ROW = pa.schema([("gram", pa.int64()), ("string", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("place", pa.int64()), ("spans", pa.binary())])
-_DDL = "gram long, string long, doc_id long, tag int, place long, spans binary"
+#: A row of the corpus: its id and 128 bits of its text.
+_KEY = ["doc_id", "tag1", "tag2"]
+_ROW = pa.schema([("gram", pa.int64()), ("string", pa.int64()), *((k, pa.int64()) for k in _KEY), ("place", pa.int64()), ("spans", pa.binary())])
+_DDL = "gram long, string long, doc_id long, tag1 long, tag2 long, place long, spans binary"
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -153,14 +158,14 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _emit(batch: pa.RecordBatch, gram, string, owner, place, spans) -> Iterator[pa.RecordBatch]:
     """Rows that go on to be sorted, then one row per text with what this block has settled."""
-    doc, tag = batch.column(0), batch.column(1)
+    keys = [batch.column(k) for k in range(len(_KEY))]
     if len(owner):
         at = pa.array(owner)
-        yield pa.RecordBatch.from_arrays([_signed(gram), _signed(string), doc.take(at), tag.take(at), pa.array(place, pa.int64()), pa.nulls(len(owner), pa.binary())], schema=_ROW)
+        yield pa.RecordBatch.from_arrays([_signed(gram), _signed(string), *(k.take(at) for k in keys), pa.array(place, pa.int64()), pa.nulls(len(owner), pa.binary())], schema=_ROW)
     if rows := [i for i, s in enumerate(spans) if s]:
         at = pa.array(rows)
-        own = np.arange(len(rows), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([_signed(mix(own.view(np.uint64))), pa.nulls(len(rows), pa.int64()), doc.take(at), tag.take(at), pa.nulls(len(rows), pa.int64()), pa.array([spans[i] for i in rows], pa.binary())], schema=_ROW)
+        # Nothing is compared with these rows; the text's own bits deal them evenly.
+        yield pa.RecordBatch.from_arrays([keys[1].take(at), pa.nulls(len(rows), pa.int64()), *(k.take(at) for k in keys), pa.nulls(len(rows), pa.int64()), pa.array([spans[i] for i in rows], pa.binary())], schema=_ROW)
 
 
 def _pack(start: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -173,11 +178,50 @@ def _unite(hashes: _Hashes, lo: np.ndarray, hi: np.ndarray, before: np.ndarray,
     return mix(hashes.window(lo) ^ mix(hashes.window(hi) + under)) ^ mix(before.astype(np.uint64) << _U(8) | (hi - lo).astype(np.uint64))
 
 
+class _Copies:
+    """Leaves out rows that are copies of one before; it keeps a bounded number of keys in mind, so some may pass."""
+
+    def __init__(self, slots: int = MET):
+        self._mask, self._keys = slots - 1, np.zeros((3, slots), np.int64)
+        self._used = np.zeros(slots, bool)
+
+    def drop(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = np.stack([batch.column(k).to_numpy() for k in range(3)]) if batch.num_rows else self._keys[:, :0]
+        slot = keys[1] & self._mask
+        keep = ~(self._used[slot] & (self._keys[:, slot] == keys).all(axis=0))
+        order = np.lexsort(keys)
+        same = np.zeros(len(order), bool)
+        same[1:] = (keys[:, order[1:]] == keys[:, order[:-1]]).all(axis=0)
+        keep[order[same]] = False
+        self._keys[:, slot], self._used[slot] = keys, True
+        return batch if keep.all() else batch.filter(pa.array(keep))
+
+
+class _Met:
+    """First occurrences of strings that this task met lately: a table of bounded size, one place per slot."""
+
+    def __init__(self, slots: int = MET):
+        self._mask = _U(slots - 1)
+        self._string, self._doc, self._start = np.zeros(slots, np.uint64), np.zeros(slots, np.int64), np.zeros(slots, np.int64)
+        self._used = np.zeros(slots, bool)
+
+    def behind(self, string: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Whether each string was met at an earlier place of the corpus; the others are remembered."""
+        slot = (string & self._mask).astype(np.int64)
+        met = self._used[slot] & (self._string[slot] == string)
+        late = met & ((self._doc[slot] < doc) | ((self._doc[slot] == doc) & (self._start[slot] < start)))
+        new = slot[~late]
+        self._string[new], self._doc[new], self._start[new], self._used[new] = string[~late], doc[~late], start[~late], True
+        return late
+
+
 def _parse(batches):
     """Phrases of each block under their trigger's gram."""
+    seen = _Met()
+    copies = _Copies()
     for batch in batches:
-        for part in blocks(batch):
-            data, bounds = raw_texts(part.column(2))
+        for part in blocks(copies.drop(batch)):
+            data, bounds = raw_texts(part.column(3))
             docs = part.column(0).to_numpy()
             for piece, starts, owner, base in _segments(data, bounds):
                 hashes = _Hashes(piece)
@@ -192,13 +236,15 @@ def _parse(batches):
                 phrase = _unite(hashes, lo, hi, at - lo, g)
                 start = lo - base[own]
                 first, later = _first_of(phrase, docs[own], start)
+                late = seen.behind(phrase[first], docs[own[first]], start[first])
+                first, later = first[~late], np.concatenate([later, first[late]])
                 spans = _spans(own[later], start[later], (start + hi - lo)[later] + LENGTH, part.num_rows)
                 yield from _emit(part, g[first], phrase[first], own[first], _pack(start, at - lo, hi - lo)[first], spans)
 
 
 def _wanted(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """Of the runs that a text is asked for: owner text, start, distance to the trigger, windows, key."""
-    wanted = part.column(3)
+    wanted = part.column(4)
     counts = np.diff(np.frombuffer(wanted.buffers()[1], np.int32)[wanted.offset : wanted.offset + len(wanted) + 1])
     place = wanted.flatten().field(0).to_numpy()
     key = wanted.flatten().field(1).to_numpy().view(np.uint64)
@@ -217,9 +263,10 @@ def _stretches(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, _
 
 def _split(batches):
     """Pieces of the wanted phrases under the hash of their core."""
+    copies = _Copies()
     for batch in batches:
-        for part in blocks(batch):
-            data, bounds = raw_texts(part.column(2))
+        for part in blocks(copies.drop(batch)):
+            data, bounds = raw_texts(part.column(3))
             docs = part.column(0).to_numpy()
             own, lo, before, n, _ = _wanted(part)
             run = np.repeat(np.arange(len(own)), n)
@@ -243,9 +290,10 @@ def _split(batches):
 
 def _windows(batches):
     """Every window of the wanted pieces under the piece's core."""
+    copies = _Copies()
     for batch in batches:
-        for part in blocks(batch):
-            data, bounds = raw_texts(part.column(2))
+        for part in blocks(copies.drop(batch)):
+            data, bounds = raw_texts(part.column(3))
             docs = part.column(0).to_numpy()
             own, lo, _, n, key = _wanted(part)
             owner, core = np.repeat(own, n), np.repeat(key, n)
@@ -271,19 +319,19 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, start, end, spans): what goes, as one span or as packed pairs."""
-    columns = ["doc_id", "tag", "gram", "place", "later", "spans"]
+    """(doc_id, tag1, tag2, span, spans): what goes, as one span or as packed pairs."""
+    columns = [*_KEY, "gram", "place", "later", "spans"]
     found = materialise(_ranked(docs.mapInArrow(_parse, _DDL)).filter("later or mixed or string is null").select(*columns), "phrases")
     settled = found
     for name, look in (("pieces", _split), ("windows", _windows)):
-        wanted = found.filter("place is not null and not later").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("place", "gram")).alias("wanted"))
-        texts = docs.join(wanted.hint("shuffle_hash"), ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted")
+        wanted = found.filter("place is not null and not later").groupBy(*_KEY).agg(F.collect_set(F.struct("place", "gram")).alias("wanted"))
+        texts = docs.join(wanted.hint("shuffle_hash"), _KEY).select(*_KEY, "text", "wanted")
         kept = "later or string is null" if look is _windows else "later or mixed or string is null"
         found = materialise(_ranked(texts.mapInArrow(look, _DDL)).filter(kept).select(*columns), name)
         settled = settled.unionByName(found)
     settled = settled.filter("later or place is null")
     span = F.expr(f"named_struct('start', shiftright(place, 16), 'end', shiftright(place, 16) + (place & 255) + {LENGTH})")
-    return settled.select("doc_id", "tag", F.when(F.col("place").isNotNull(), span).alias("span"), "spans")
+    return settled.select(*_KEY, F.when(F.col("place").isNotNull(), span).alias("span"), "spans")
 
 
 def _cut(batches):
@@ -318,8 +366,8 @@ def _cut(batches):
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes) and kept_sha256."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = docs.select(id_in().alias("doc_id"), F.hash(text).alias("tag"), text.alias("text"))
-    spans = repeated_spans(texts).groupBy("doc_id", "tag").agg(F.collect_list("span").alias("one"), F.collect_list("spans").alias("many"))
-    rows = texts.join(spans.hint("shuffle_hash"), ["doc_id", "tag"], "left").select("doc_id", "text", "one", "many")
+    texts = docs.select(id_in().alias("doc_id"), F.xxhash64(text).alias("tag1"), F.xxhash64(F.lit(1), text).alias("tag2"), text.alias("text"))
+    spans = repeated_spans(texts).groupBy(*_KEY).agg(F.collect_set("span").alias("one"), F.collect_set("spans").alias("many"))
+    rows = texts.join(spans.hint("shuffle_hash"), _KEY, "left").select("doc_id", "text", "one", "many")
     cut = rows.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     return cut.withColumn("doc_id", id_out())
