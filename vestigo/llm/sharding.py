@@ -35,7 +35,7 @@ from .shared import materialise
 
 LAW = "rows"
 #: Buckets that a small corpus has, so that its pass two runs in parallel, and shuffle partitions of a large one.
-FEWEST, MOST = 32, 20_000
+FEWEST, MOST = 8, 20_000
 _OWN = ["size", "tag", "bucket", "place", "shard", "slot"]
 
 
@@ -88,7 +88,7 @@ def _shuffle_buckets(placed: DataFrame, seed: int) -> DataFrame:
     return placed.mapInArrow(run, schema)
 
 
-def external_shuffle(docs: DataFrame, shards: int = 40, seed: int = 42, bucket_bytes: int = 64 << 20) -> DataFrame:
+def external_shuffle(docs: DataFrame, shards: int = 40, seed: int = 42, bucket_bytes: int = 32 << 20) -> DataFrame:
     """All records with size, shard (0 to shards - 1) and slot; read from the written buckets, each of which lies in a run of slots."""
     docs = docs.drop(*_OWN)
     size = (F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + 16).cast("long")
