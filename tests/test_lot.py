@@ -3,29 +3,29 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.lots import EIGHT, SIX, records
+from tests.lots import FORMATS, STATUS, TEN, records
 from vestigo import schemas
 from vestigo.functions.classify import stratum
 from vestigo.operators import audit, forms, rollup, sampling, triage
 
 
-def test_six_records(spark):
-    r = records(spark, SIX)
+def test_counts_of_a_lot(spark):
+    r = records(spark, TEN)
     c = rollup.counts(r).first()
-    assert (c.documentos, c.assinaturas_total, c.assinaturas_nivel0, c.assinaturas_nivel1, c.somente_nivel0, c.somente_nivel1, c.ambos) == (6, 4, 1, 3, 1, 1, 0)
-    s = {x.status: x.n_docs for x in rollup.by_status(r).collect()}
-    assert s == {"assinado": 2, "sem_assinatura": 1, "indeterminado": 1, "erro": 1, "nao_suportado": 1, "container": 0}
-    assert c.documentos_com_retry == 1 and c.documentos_completos == 3
-    f = {x.formato: tuple(x)[1:] for x in rollup.by_format(r).collect()}
-    assert f == {".pdf": (5, 2, 1, 2), ".xlsx": (1, 0, 0, 1)}
+    assert (c.documentos, c.documentos_avaliaveis, c.documentos_completos, c.documentos_com_retry) == (10, 9, 6, 1)
+    assert (c.assinaturas_total, c.assinaturas_nivel0, c.assinaturas_nivel1) == (7, 3, 4) and (c.somente_nivel0, c.somente_nivel1, c.ambos) == (1, 2, 1)
+    assert {x.status: x.n_docs for x in rollup.by_status(r).collect()} == STATUS
+    assert {x.formato: tuple(x)[1:] for x in rollup.by_format(r).collect()} == FORMATS
+    assert {x.erro_tipo: x.n_docs for x in rollup.by_error(r).collect()} == {"OSError": 1, "FormatoNaoSuportadoError": 1}
+    assert {x.status for x in rollup.by_status(records(spark, [])).collect()} == set(STATUS)
 
 
-def test_eight_records_and_fallback(spark):
-    r = records(spark, EIGHT)
+def test_fallback_of_a_lot(spark):
+    r = records(spark, TEN)
     c = rollup.counts(r).first()
     assert (c.fallback_documentos, c.fallback_paginas, c.fallback_resgatados, c.fallback_assinaturas) == (2, 5, 1, 1)
     x = rollup.rates(r).first()
-    assert x.taxa_sem_fallback == 0.25 and x.taxa_assinado == 0.375 and x.alertas == 3
+    assert (x.taxa_assinado, x.taxa_sem_fallback, x.alertas) == (4 / 9, 3 / 9, 3)
 
 
 def test_times(spark):

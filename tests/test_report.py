@@ -2,19 +2,28 @@ import json
 
 from pyspark.sql import functions as F
 
-from tests.lots import EIGHT, records
+from tests.lots import TEN, records
 from vestigo import cli, schemas
 from vestigo.operators import audit, forms
 from vestigo.plans import report
 
 
 def test_summary_from_the_command_line(spark, tmp_path):
-    lines = [r.value for r in records(spark, EIGHT).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).collect()]
+    lines = [r.value for r in records(spark, TEN).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).collect()]
     (tmp_path / "r.jsonl").write_text("\n".join(lines), encoding="utf-8")
     assert cli.main(["resumo", "--registros", str(tmp_path / "r.jsonl"), "--saida", str(tmp_path)]) == 0
     found = json.loads((tmp_path / "RESUMO.json").read_text())
-    assert found["documentos"] == 8 and found["fallback"] == {"documentos": 2, "paginas": 5, "documentos_resgatados": 1, "assinaturas": 1} and found["tempo"]["p95_ms_por_documento"] == 100.0
-    assert "25.0 %" in (tmp_path / "RESUMO.md").read_text() and len((tmp_path / "COMPLETO.md").read_text().splitlines()) == 10
+    assert found["documentos"] == 10 and found["fallback"] == {"documentos": 2, "paginas": 5, "documentos_resgatados": 1, "assinaturas": 1} and found["tempo"]["p95_ms_por_documento"] == 80.0
+    assert "33.3 %" in (tmp_path / "RESUMO.md").read_text() and len((tmp_path / "COMPLETO.md").read_text().splitlines()) == 12
+    assert (tmp_path / "COMPLETO.md").read_text().splitlines()[2].startswith("| 1 | ✅ | obras/contrato-7.pdf |")
+
+
+def test_pages_of_cards_and_runs(spark):
+    cards = [{"id": "0" * 12, "classe": "fn", "estrato": "s", "arquivo": "a b/<x>.pdf", "copias": 1, "detalhes": [["Arquivo", "</script><b>"]]}]
+    page = "\n".join(report.cards_page(cards, "/lote", "/lote/saida"))
+    assert "</script><b>" not in page and "../a%20b/%3Cx%3E.pdf" in page and json.loads(page.split('id="dados">')[1].split("</script>")[0])[0]["arquivo"] == "a b/<x>.pdf"
+    page, found = report.run_report(records(spark, TEN[:3]))
+    assert found["resumo"]["documentos"] == 3 and found["resumo"]["custo"] == "0.0315" and [d["veredito"] for d in found["documentos"]] == ["assinado (N0)", "assinado (N1)", "assinado (N0+N1)"] and page[0] == "# Resultados"
 
 
 def test_validation_pages(spark):

@@ -22,7 +22,7 @@ def _zip(members):
     return out.getvalue()
 
 
-DOCX = _zip({"word/document.xml": "<w:p>assinado por ANA &amp; BIA</w:p><w:p>a<w:tab/>b<w:br/>c</w:p>", "word/media/i.png": b"x"})
+DOCX = _zip({"word/document.xml": "<w:p>assinado por ANA &amp; BIA</w:p><w:p>a<w:tab/>b<w:br/>c</w:p>", "word/media/i.png": b"x", "word/media/a.txt": b"x"})
 PPTX = _zip({"ppt/slides/slide2.xml": "<a:p>dois</a:p>", "ppt/slides/slide1.xml": "<a:p>um</a:p>"})
 
 
@@ -61,6 +61,28 @@ def test_damaged_checkpoint(spark, tmp_path):
     assert done == {"A", "z", "m.xls"}
 
 
+def test_appended_batches_keep_their_order(spark, tmp_path):
+    path = str(tmp_path / "registros")
+    for k in range(12):
+        R.append_records(records(spark, [{"arquivo": "a", "status": "erro" if k < 11 else "assinado", "tentativas": k}, {"arquivo": f"b{k}"}]).repartition(2), path)
+    (tmp_path / "registros" / "_novo-x").mkdir()
+    (tmp_path / "registros" / "_novo-x" / "part-0.json").write_text('{"arquivo": "a", "status": "never"}')
+    got = {r.arquivo: r for r in R.read_records(spark, path).collect()}
+    assert got["a"].status == "assinado" and got["a"].tentativas == 11 and len(got) == 13
+    labels = str(tmp_path / "rotulos")
+    for label in (True, None, False, True, None):
+        R.append_label(spark, labels, "s", label)
+    assert [tuple(r)[:2] for r in R.read_labels(spark, labels).collect()] == [("s", None)]
+
+
+def test_label_folders(spark, tmp_path):
+    for place in ("com_assinatura/0123456789ab.jpg", "duvida/0123456789ab.jpg", "sem_assinatura/aaaaaaaaaaaa.jpg", "pendentes/bbbbbbbbbbbb.jpg", "com_assinatura/nota.jpg"):
+        (tmp_path / place).parent.mkdir(exist_ok=True)
+        (tmp_path / place).write_bytes(b"x")
+    got = sorted(map(tuple, S.label_files(spark, str(tmp_path)).collect()))
+    assert got == [("0123456789ab", "com_assinatura"), ("0123456789ab", "duvida"), ("aaaaaaaaaaaa", "sem_assinatura")]
+
+
 def test_labels_round_trip(spark, tmp_path):
     (tmp_path / "l.jsonl").write_text('{"sha256": "a", "tem_assinatura": true}\n{"sha256": "a", "tem_assinatura": false}\n{"sha256": "b", "tem_assinatura": null}\n{"sha256": "c"}\n{bad', encoding="utf-8")
     got = R.read_labels(spark, str(tmp_path / "l.jsonl"))
@@ -132,10 +154,25 @@ def test_cascade(spark):
     assert got["none"].paginas_em_branco == 1 and got["none"].paginas_analisadas == 0 and got["stamp"].signatarios == ["ANA"]
     off = {r.doc: r.status for r in detect.detect_documents(docs, pages, widgets, None).collect()}
     assert off["fail"] == off["seen"] == "sem_assinatura" and off["stamp"] == "assinado"
+    # one failing page among good ones drops level 1 as a whole
+    more = pages.unionByName(spark.createDataFrame([("seen", 2, bytearray(b"\x01" * 8), "")], pages.schema))
+    broken = {r.doc: r for r in detect.detect_documents(docs, more, widgets, _detector(), detect.BATCH).collect()}["seen"]
+    assert (broken.status, broken.visual, broken.paginas_analisadas, broken.tempo_inferencia_ms) == ("indeterminado", [], 0, 0) and "no model" in broken.nivel1_erro
     tool = {r.doc: r for r in detect.detect_documents(docs, pages, widgets, _detector(), detect.TOOL).collect()}
     assert tool["stamp"].paginas_analisadas == 0 and tool["seen"].nivel1_total == 1
 
 
+def test_hits_in_order_of_place(spark):
+    def two(gray, tile):
+        return np.array([[320, 500, 64, 32, 0.9], [320, 100, 64, 32, 0.5], [100, 300, 64, 32, 0.7]])
+
+    pages = spark.createDataFrame([("d", k, bytearray(b"\x03" * 8), "") for k in (3, 1, 2)], "doc string, numero int, gray binary, texto string").repartition(3)
+    docs = spark.createDataFrame([("d", "", None)], "doc string, texto string, texto_extraido string")
+    none = spark.createDataFrame([], "doc string, page int, campo string, tem_valor boolean, tem_byterange boolean, bytes_contents int")
+    hits = detect.detect_documents(docs, pages, none, two).first().visual
+    assert [(h.page, h.confidence) for h in hits] == [(p, c) for p in (1, 2, 3) for c in (0.5, 0.7, 0.9)]
+
+
 def test_contents(spark):
     rows = [(r"/Contents (a(b\))\101\n)",), ("/Contents <0a1>",), ("/Other",), ("/Contents (open",)]
     got = [bytes(r.x) for r in spark.createDataFrame(rows, "o string").select(detect.pdf_contents("o").alias("x")).collect()]

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -53,9 +53,12 @@ def ink_density(pixels: pd.Series) -> pd.Series:
 
 
 def triage_pages(pages: DataFrame, min_ink: float = V.MIN_INK) -> DataFrame:
-    """pages (doc, numero, gray, texto) with densidade_tinta, em_branco and tem_rotulo_assinatura."""
+    """pages (doc, numero, gray, texto) with densidade_tinta, em_branco and tem_rotulo_assinatura.
+
+    A page without pixels (NULL) hasn't been seen, so it isn't blank; one of no pixels is.
+    """
     rows = pages.withColumn("densidade_tinta", ink_density("gray"))
-    return rows.withColumns({"em_branco": F.col("densidade_tinta") < min_ink, "tem_rotulo_assinatura": X.has_signature_label("texto")})
+    return rows.withColumns({"em_branco": F.col("gray").isNotNull() & (F.col("densidade_tinta") < min_ink), "tem_rotulo_assinatura": X.has_signature_label("texto")})
 
 
 def level0(docs: DataFrame, widgets: DataFrame) -> DataFrame:
@@ -89,10 +92,22 @@ def _hits(rows: DataFrame, detect: Detector) -> DataFrame:
     return rows.withColumn("r", run("gray", "tile")).select(*rows.columns, "r.*")
 
 
+def _by_place(hits: Column) -> Column:
+    """Hits by page, then by their top edge; equal ones stay in order of score."""
+    key = lambda h: (h["page"], h["bounding_box"]["top"])
+
+    def order(x, y):
+        (a, s), (b, t) = key(x), key(y)
+        return F.when(a < b, -1).when(a > b, 1).when(s < t, -1).when(s > t, 1).otherwise(0)
+
+    return F.array_sort(hits, order)
+
+
 def level1(pages: DataFrame, detect: Detector, options: Options = BATCH, tiled: DataFrame | None = None) -> DataFrame:
     """Hits per document of useful pages: (doc, visual, paginas_analisadas, paginas_ladrilhadas, tempo_inferencia_ms, nivel1_erro).
 
-    ``tiled`` has the documents (doc) for which an empty first pass is repeated on tiles.
+    ``tiled`` has the documents (doc) for which an empty first pass is repeated on tiles. A failure on any page
+    or tile drops level 1 as a whole for its document: no hits, no pages, only the error.
     """
     no_tile = F.lit(None).cast("struct<left: double, top: double, right: double, bottom: double>")
     whole = _hits(pages.withColumn("tile", no_tile), detect)
@@ -103,7 +118,7 @@ def level1(pages: DataFrame, detect: Detector, options: Options = BATCH, tiled:
         F.flatten(F.collect_list("visual")).alias("visual"), F.count("*").alias("paginas_analisadas"), F.sum("ms").alias("ms"), F.max("failure").alias("nivel1_erro")
     )
     if not options.tiles or tiled is None:
-        return first.select("doc", "visual", "paginas_analisadas", F.lit(0).cast("bigint").alias("paginas_ladrilhadas"), F.col("ms").alias("tempo_inferencia_ms"), "nivel1_erro")
+        return _all_or_nothing(first.select("doc", "visual", "paginas_analisadas", F.lit(0).cast("bigint").alias("paginas_ladrilhadas"), F.col("ms").alias("tempo_inferencia_ms"), "nivel1_erro"))
     empty = first.filter("size(visual) = 0 and nivel1_erro is null").select("doc").join(tiled, "doc", "left_semi")
     again = pages.join(empty, "doc", "left_semi").withColumn("tile", F.explode(G.tile_rects()))
     again = _hits(again, detect).withColumn("hits", G.decode_head(F.col("predictions"), options.confidence, options.iou))
@@ -119,16 +134,24 @@ def level1(pages: DataFrame, detect: Detector, options: Options = BATCH, tiled:
     kept = kept.withColumn("visual", F.transform("kept", lambda b: F.struct(F.col("numero").alias("page"), b["score"].alias("confidence"), rect(b).alias("bounding_box"))))
     second = kept.groupBy("doc").agg(F.flatten(F.collect_list("visual")).alias("visual2"), F.count("*").alias("tiled"), F.sum("ms").alias("ms2"), F.max("failure").alias("failure2"))
     both = first.join(second, "doc", "left")
-    return both.select(
-        "doc",
-        F.coalesce("visual2", "visual").alias("visual"),
-        "paginas_analisadas",
-        F.coalesce("tiled", F.lit(0)).alias("paginas_ladrilhadas"),
-        (F.col("ms") + F.coalesce("ms2", F.lit(0.0))).alias("tempo_inferencia_ms"),
-        F.coalesce("nivel1_erro", "failure2").alias("nivel1_erro"),
+    return _all_or_nothing(
+        both.select(
+            "doc",
+            F.coalesce("visual2", "visual").alias("visual"),
+            "paginas_analisadas",
+            F.coalesce("tiled", F.lit(0)).alias("paginas_ladrilhadas"),
+            (F.col("ms") + F.coalesce("ms2", F.lit(0.0))).alias("tempo_inferencia_ms"),
+            F.coalesce("nivel1_erro", "failure2").alias("nivel1_erro"),
+        )
     )
 
 
+def _all_or_nothing(found: DataFrame) -> DataFrame:
+    failed = F.col("nivel1_erro").isNotNull()
+    nothing = {c: F.when(~failed, F.col(c)).otherwise(F.lit(0)) for c in ("paginas_analisadas", "paginas_ladrilhadas", "tempo_inferencia_ms")}
+    return found.withColumns({**nothing, "visual": F.when(~failed, _by_place(F.col("visual"))).otherwise(F.slice("visual", 1, 0))})
+
+
 def detect_documents(docs: DataFrame, pages: DataFrame, widgets: DataFrame, detect: Detector | None, options: Options = BATCH) -> DataFrame:
     """The whole cascade: one result row per document, with status.
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 from collections.abc import Callable
 from contextlib import contextmanager, suppress
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.records import completed
@@ -43,9 +44,18 @@ def run_metadata(files: DataFrame, lines: DataFrame, expanded: DataFrame, proces
     return {"encontrados": files.count(), "zips_expandidos": got.zips, "arquivos_extraidos": got.members, "retomados": completed(lines).count(), "processados": processed}
 
 
+def started_at(pid: int) -> str | None:
+    """When a process began, as the kernel counts it; None where that isn't known. Tells a pid from its successor."""
+    try:
+        with open(f"/proc/{pid}/stat", encoding="utf-8", errors="replace") as f:
+            return f.read().rpartition(")")[2].split()[19]
+    except (OSError, IndexError):
+        return None
+
+
 @contextmanager
 def run_lock(path: str):
-    """A lock file with the owner's pid; one left by a process that is gone is taken over."""
+    """A lock file with the owner's pid and its start; one left by a process that is gone is taken over."""
     for _ in range(2):
         try:
             fd = os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
@@ -53,8 +63,10 @@ def run_lock(path: str):
         except FileExistsError:
             try:
                 with open(path, encoding="utf-8") as f:
-                    pid = int(json.load(f)["pid"])
-                os.kill(pid, 0)
+                    held = json.load(f)
+                os.kill(int(held["pid"]), 0)
+                if held.get("inicio") not in (None, started_at(int(held["pid"]))):
+                    raise ValueError("the pid belongs to another process by now")
             except (OSError, ValueError, KeyError, TypeError):
                 with suppress(FileNotFoundError):
                     os.unlink(path)
@@ -63,8 +75,42 @@ def run_lock(path: str):
     else:
         raise RuntimeError(f"{path} can't be taken")
     with os.fdopen(fd, "w") as f:
-        json.dump({"pid": os.getpid()}, f)
+        json.dump({"pid": os.getpid(), "inicio": started_at(os.getpid())}, f)
     try:
         yield
     finally:
         os.unlink(path)
+
+
+class Sampler:
+    """Samples this machine's load and this process's memory every ``seconds``, for ``resource_summary``."""
+
+    def __init__(self, seconds: float = 2.0):
+        self._seconds, self._stop, self.samples = seconds, threading.Event(), []
+
+    def __enter__(self) -> Sampler:
+        import psutil
+
+        def sample():
+            own = psutil.Process()
+            psutil.cpu_percent()
+            while not self._stop.wait(self._seconds):
+                self.samples.append((psutil.cpu_percent(), psutil.virtual_memory().percent, own.memory_info().rss / 2**20))
+
+        self._thread = threading.Thread(target=sample, daemon=True)
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._stop.set()
+        self._thread.join()
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.samples, "cpu double, ram double, rss double")
+
+
+def progress(spark: SparkSession) -> dict[str, int]:
+    """Tasks of the running stages: all, active, done and failed."""
+    tracker = spark.sparkContext.statusTracker()
+    infos = [i for s in tracker.getActiveStageIds() if (i := tracker.getStageInfo(s))]
+    return {"tarefas": sum(i.numTasks for i in infos), "ativas": sum(i.numActiveTasks for i in infos), "prontas": sum(i.numCompletedTasks for i in infos), "falhas": sum(i.numFailedTasks for i in infos)}

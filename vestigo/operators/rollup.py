@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocabulary as V
@@ -124,8 +124,8 @@ def first_errors(records: DataFrame, k: int = 15) -> DataFrame:
     return rows.select("arquivo", "erro_tipo", "erro", "tentativas")
 
 
-def observations(records: DataFrame) -> DataFrame:
-    """arquivo and its remark: the non-empty parts joined, or a dash."""
+def remark() -> Column:
+    """A record's remark: the non-empty parts joined, or a dash."""
     some = lambda c: F.nullif(F.col(c), F.lit(""))
     pages = F.when(
         F.col("paginas_ladrilhadas") > 0,
@@ -135,4 +135,9 @@ def observations(records: DataFrame) -> DataFrame:
     tries = F.when(F.col("tentativas") > 1, F.concat(F.col("tentativas").cast("string"), F.lit(" tentativas")))
     text = F.concat_ws("; ", some("observacao"), some("erro"), F.concat(F.lit("Nível 1 indisponível: "), some("nivel1_erro")), pages, limited, tries)
     text = F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), "\n", " ")
-    return records.select("arquivo", F.coalesce(F.nullif(text, F.lit("")), F.lit("—")).alias("observacao"))
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit("—"))
+
+
+def observations(records: DataFrame) -> DataFrame:
+    """arquivo and its remark."""
+    return records.select("arquivo", remark().alias("observacao"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import urllib.parse
 from collections.abc import Iterable, Iterator
 from typing import Any
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import vocabulary as V
 from ..functions.classify import stratum_order
-from ..operators import audit, forms, rollup, triage
+from ..operators import audit, documents, forms, rollup, triage
 from ..sources.records import ordered
 
 MARKS = {"assinado": "✅", "sem_assinatura": "❌"}
@@ -73,7 +74,7 @@ def summary_page(records: DataFrame, found: dict[str, Any]) -> list[str]:
 
 def listing(records: DataFrame) -> Iterator[str]:
     """The full listing, a line per record in path order; rows come partition by partition, never all at once."""
-    rows = ordered(records.join(rollup.observations(records).withColumnRenamed("observacao", "nota"), "arquivo"))
+    rows = ordered(records.withColumn("nota", rollup.remark()))
     header = ("Nº", "", "Arquivo", "Formato", "Assinaturas", "Nível 0", "Nível 1", "Páginas", "ms", "Nota")
     yield from _table(header, [])[:2]
     for k, r in enumerate(rows.toLocalIterator(), 1):
@@ -147,3 +148,59 @@ def write(folder: str, name: str, page: Iterable[str], document: Any = None) ->
     if document is not None:
         with open(os.path.join(folder, name + ".json"), "w", encoding="utf-8") as f:
             json.dump(document, f, ensure_ascii=False, indent=2)
+
+
+def relative_link(target: str, base: str) -> str:
+    """A link from a page in ``base`` to ``target``, escaped; an absolute path where they share no root."""
+    try:
+        return urllib.parse.quote(os.path.relpath(target, base).replace(os.sep, "/"))
+    except ValueError:
+        return urllib.parse.quote(target.replace(os.sep, "/"))
+
+
+def cards_page(cards: list[dict[str, Any]], root: str, folder: str) -> list[str]:
+    """A static page of the cards: a filter by class, a cause to choose per card, and an export of the choices.
+
+    The cards come as JSON inside the page and are shown as text, so nothing in them is markup.
+    """
+    rows = [c | {"link": relative_link(os.path.join(root, c["arquivo"]), folder)} for c in cards]
+    data = json.dumps(rows, ensure_ascii=False).replace("<", "\\u003c")
+    return f"""<!doctype html>
+<html lang="pt-BR"><meta charset="utf-8"><title>Erros da amostra</title>
+<h1>Erros da amostra</h1>
+<p><select id="classe"><option value="">todas as classes</option></select> <button id="exportar">Exportar triagem</button></p>
+<main></main>
+<script type="application/json" id="dados">{data}</script>
+<script>
+const dados = JSON.parse(document.getElementById("dados").textContent), causas = {{}};
+const filtro = document.getElementById("classe"), area = document.querySelector("main");
+const nova = (nome, texto) => Object.assign(document.createElement(nome), {{textContent: texto ?? ""}});
+for (const c of new Set(dados.map(d => d.classe))) filtro.append(nova("option", c));
+function mostrar() {{
+  area.replaceChildren(...dados.filter(d => !filtro.value || d.classe === filtro.value).map(d => {{
+    const caixa = nova("section"), lista = nova("dl"), causa = nova("select"), titulo = nova("h2", `${{d.classe}} · ${{d.estrato}}`);
+    const elo = Object.assign(nova("a", d.arquivo), {{href: d.link}});
+    for (const [nome, valor] of d.detalhes) lista.append(nova("dt", nome), nova("dd", valor));
+    for (const c of ["", "modelo", "rotulagem", "documento", "rever"]) causa.append(nova("option", c));
+    causa.value = causas[d.id] ?? "";
+    causa.onchange = () => causas[d.id] = causa.value;
+    caixa.append(titulo, elo, lista, causa);
+    return caixa;
+  }}));
+}}
+filtro.onchange = mostrar;
+document.getElementById("exportar").onclick = () => {{
+  const linhas = dados.filter(d => causas[d.id]).map(d => ({{id: d.id, classe: d.classe, estrato: d.estrato, causa: causas[d.id]}}));
+  const elo = Object.assign(nova("a"), {{href: URL.createObjectURL(new Blob([JSON.stringify(linhas, null, 2)])), download: "triagem.json"}});
+  elo.click();
+}};
+mostrar();
+</script></html>""".splitlines()
+
+
+def run_report(rows: DataFrame) -> tuple[list[str], dict[str, Any]]:
+    """A test run's page and document: verdict per document and the summary with the priced comparison."""
+    total = {k: (str(v) if k.startswith("custo") else v) for k, v in documents.run_summary(rows).first().asDict().items()}
+    lines = rows.select("arquivo", documents.run_verdict().alias("veredito"), "nivel0_total", "nivel1_total", "paginas", "tempo_ms").orderBy(F.lower("arquivo"), "arquivo").collect()
+    page = ["# Resultados", "", *_table(("Arquivo", "Veredito", "Nível 0", "Nível 1", "Páginas", "ms"), map(tuple, lines)), "## Resumo", "", *_table(("Medida", "Valor"), total.items())]
+    return page, {"resumo": total, "documentos": [r.asDict() for r in lines]}

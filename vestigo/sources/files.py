@@ -13,15 +13,19 @@ import os
 import re
 import shutil
 import zipfile
+import zlib
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import vocabulary as V
 from ..functions.classify import file_type, suffix
+from .records import append_lines
 
 
 def is_listed(name: str) -> bool:
@@ -36,14 +40,71 @@ def walk(root: str) -> Iterator[str]:
     yield from sorted(found, key=str.lower)
 
 
-def list_documents(spark: SparkSession, root: str) -> DataFrame:
-    """arquivo, tamanho_bytes, formato, tipo of every file, supported or not."""
-    rows = [(p, os.path.getsize(os.path.join(root, p))) for p in walk(root)]
-    files = spark.createDataFrame(rows, "arquivo string, tamanho_bytes long")
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, qualified path) of a path in any store that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
+
+
+def listing(spark: SparkSession, root: str) -> Iterator[tuple[str, int]]:
+    """(path, bytes) of every listed file under ``root`` in any store, path relative and with forward slashes.
+
+    Names and sizes only, as the store's own listing gives them; contents stay where they are.
+    """
+    fs, base = _hadoop(spark, root)
+    if not fs.exists(base):
+        return
+    prefix, found = base.toString().rstrip("/") + "/", fs.listFiles(base, True)
+    while found.hasNext():
+        status = found.next()
+        path = status.getPath().toString()
+        if is_listed(path.rsplit("/", 1)[-1]):
+            yield path.removeprefix(prefix), status.getLen()
+
+
+def _typed(files: DataFrame) -> DataFrame:
     ext = suffix("arquivo")
     return files.withColumns({"formato": F.when(ext == "", "(sem extensão)").otherwise(ext), "tipo": file_type(ext)})
 
 
+def list_documents(spark: SparkSession, root: str) -> DataFrame:
+    """arquivo, tamanho_bytes, formato, tipo of every file, supported or not."""
+    return _typed(spark.createDataFrame(list(listing(spark, root)), "arquivo string, tamanho_bytes long"))
+
+
+def read_contents(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """``files`` with ``conteudo``, read on the executors; NULL where a file can't be read.
+
+    Spark's reader passes over empty files and over names with a leading underscore or dot: the
+    former need no reading, the latter are opened one by one through Arrow's file systems.
+    """
+    _, base = _hadoop(spark, root)
+    prefix = base.toString().rstrip("/") + "/"
+    hidden = F.col("arquivo").rlike("(^|/)[_.]")
+    names = files.columns
+    seen = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.substring("path", len(prefix) + 1, 1 << 20).alias("arquivo"), F.col("content").alias("conteudo"))
+    plain = files.filter(~hidden & (F.col("tamanho_bytes") > 0)).join(seen, "arquivo", "left").select(*names, "conteudo")
+    empty = files.filter(F.col("tamanho_bytes") == 0).withColumn("conteudo", F.lit(b""))
+
+    def open_each(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for k, name in enumerate(batch.column(names.index("arquivo")).to_pylist()):
+                try:
+                    store, path = fs.FileSystem.from_uri(prefix + name) if not prefix.startswith("file:") else (fs.LocalFileSystem(), (prefix + name).removeprefix("file:").replace("///", "/", 1))
+                    with store.open_input_stream(path) as f:
+                        data = f.read()
+                except OSError:
+                    data = None
+                yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns, pa.array([data], pa.binary())], names=[*names, "conteudo"])
+
+    odd = files.filter(hidden & (F.col("tamanho_bytes") > 0)).mapInArrow(open_each, T.StructType([*files.schema.fields, T.StructField("conteudo", T.BinaryType())]))
+    return plain.unionByName(empty).unionByName(odd)
+
+
 @dataclass(frozen=True)
 class Expanded:
     source: str
@@ -111,9 +172,16 @@ def zip_records(spark: SparkSession, expanded: list[Expanded]) -> DataFrame:
 
 
 def zip_members(archives: DataFrame) -> DataFrame:
-    """(arquivo, membro, conteudo, erro) of archives given as (arquivo, conteudo): expansion without a disk."""
+    """(arquivo, membro, conteudo, erro) of archives given as (arquivo, conteudo): expansion without a disk.
+
+    A member that can't be a value (over MAX_MEMBER_BYTES) or is broken gives its name and an error.
+    """
+
+    def row(name, member, data, error):
+        return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([member], pa.string()), pa.array([data], pa.binary()), pa.array([error], pa.string())], ["arquivo", "membro", "conteudo", "erro"])
 
     def expand(batches):
+        bad = (ValueError, RuntimeError, zipfile.BadZipFile, NotImplementedError, OSError, EOFError, zlib.error)
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
@@ -122,13 +190,48 @@ def zip_members(archives: DataFrame) -> DataFrame:
                         if len(members) > V.MAX_ZIP_FILES or sum(m.file_size for m in members) > V.MAX_ZIP_BYTES:
                             raise ValueError("archive over its limits")
                         for m in members:  # one member at a time stays in memory
-                            yield pa.RecordBatch.from_pydict({"arquivo": [name], "membro": [m.filename], "conteudo": [z.read(m)], "erro": pa.array([None], pa.string())})
-                except (ValueError, RuntimeError, zipfile.BadZipFile, NotImplementedError, OSError) as e:
-                    yield pa.RecordBatch.from_pydict({"arquivo": [name], "membro": pa.array([None], pa.string()), "conteudo": pa.array([None], pa.binary()), "erro": [str(e)]})
+                            try:
+                                if m.file_size > V.MAX_MEMBER_BYTES:
+                                    raise ValueError(f"member over {V.MAX_MEMBER_BYTES} bytes")
+                                yield row(name, m.filename, z.read(m), None)
+                            except bad as e:
+                                yield row(name, m.filename, None, str(e))
+                except bad as e:
+                    yield row(name, None, None, str(e))
 
     return archives.select("arquivo", "conteudo").mapInArrow(expand, "arquivo string, membro string, conteudo binary, erro string")
 
 
+def expand_archives(spark: SparkSession, zips: DataFrame, known: DataFrame, keep, depth: int = V.MAX_ZIP_DEPTH) -> tuple[DataFrame, DataFrame]:
+    """(documents, archives) inside zips given as (arquivo, conteudo), to the given depth and without a disk.
+
+    A member's path is its archive's without the extension, ``__zip`` added where a file has that name,
+    and the member's own. ``known`` has the paths (arquivo) that exist; members among them are left out.
+    ``keep`` makes a table durable. Archives come as (arquivo, destino, arquivos, falha).
+    """
+    docs, boxes, left = None, None, zips.select("arquivo", "conteudo")
+    for level in range(depth):
+        bare = F.regexp_replace("arquivo", "[.][^./]*$", "")
+        clash = known.select(F.col("arquivo").alias("destino"), F.lit(True).alias("taken"))
+        named = left.withColumn("destino", bare).join(clash, "destino", "left")
+        named = keep(named.select("arquivo", F.when(F.col("taken"), F.concat("destino", F.lit("__zip"))).otherwise(F.col("destino")).alias("destino"), "conteudo"))
+        found = keep(zip_members(named).join(named.select("arquivo", "destino"), "arquivo"))
+        box = found.groupBy("arquivo", "destino").agg(F.count_if(F.col("membro").isNotNull()).cast("int").alias("arquivos"), F.max(F.when(F.col("membro").isNull(), F.col("erro"))).alias("falha"))
+        # An archive without members has no row above.
+        box = named.select("arquivo", "destino").join(box.drop("destino"), "arquivo", "left").withColumn("arquivos", F.coalesce("arquivos", F.lit(0)))
+        inside = found.filter("membro is not null").select(F.concat("destino", F.lit("/"), F.regexp_replace("membro", r"^([A-Za-z]:)?/+|(^|/)[.][.](?=/)", "")).alias("arquivo"), "conteudo")
+        name = F.regexp_extract("arquivo", "([^/]*)$", 1)
+        inside = inside.filter(~name.rlike("^(~[$]|[.])") & ~F.contains(name, F.lit(":Zone.Identifier"))).join(known, "arquivo", "left_anti")
+        inside = _typed(inside.dropDuplicates(["arquivo"]).withColumn("tamanho_bytes", F.coalesce(F.octet_length("conteudo"), F.lit(0)).cast("long")))
+        boxes = box if boxes is None else boxes.unionByName(box)
+        plain = inside if level == depth - 1 else inside.filter("tipo <> 'zip'")
+        docs = plain if docs is None else docs.unionByName(plain)
+        left = inside.filter("tipo = 'zip'").select("arquivo", "conteudo")
+        if level == depth - 1 or left.isEmpty():
+            break
+    return docs, boxes
+
+
 _BREAK, _TAB, _TAG = re.compile(V.XML_BREAK), re.compile(V.XML_TAB), re.compile(V.XML_TAG)
 
 
@@ -139,23 +242,53 @@ def package_text(data: bytes, extension: str) -> str:
         parts = [m for m in z.infolist() if m.filename.startswith(prefix) and m.filename.endswith(".xml")]
         if sum(m.file_size for m in parts) > V.MAX_XML_BYTES:
             raise ValueError("package text over its limit")
+        if not parts:
+            raise ValueError(f"package without {prefix}*.xml")
         names = sorted(m.filename for m in parts)
         raw = [z.read(n).decode("utf-8", "replace") for n in names]
     return "\n".join(html.unescape(_TAG.sub("", _TAB.sub("\t", _BREAK.sub("\n", x)))) for x in raw)
 
 
 def package_media(data: bytes, extension: str) -> list[tuple[str, int]]:
-    """(name, bytes) of a package's pictures within the limits of number and total size."""
+    """(name, bytes) of a package's pictures, in its own order, within the limits of number and total size."""
     prefix, left, out = V.OOXML_MEDIA[extension.lower()], V.MAX_MEDIA_BYTES, []
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        for m in sorted((m for m in z.infolist() if m.filename.startswith(prefix) and not m.is_dir()), key=lambda m: m.filename):
-            if len(out) == V.MAX_MEDIA_FILES or m.file_size > left:
-                break
+        pictures = [m for m in z.infolist() if m.filename.startswith(prefix) and os.path.splitext(m.filename)[1].lower() in V.IMAGES]
+        for m in pictures[: V.MAX_MEDIA_FILES]:
             left -= m.file_size
+            if left < 0:
+                break
             out.append((m.filename, m.file_size))
     return out
 
 
+def image_size(data: bytes) -> tuple[int, int] | None:
+    """(width, height) of a PNG, GIF, BMP or JPEG from its header; None for other or broken data."""
+    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
+        return int.from_bytes(data[16:20]), int.from_bytes(data[20:24])
+    if data[:6] in (b"GIF87a", b"GIF89a") and len(data) >= 10:
+        return int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little")
+    if data[:2] == b"BM" and len(data) >= 26:
+        return int.from_bytes(data[18:22], "little", signed=True), abs(int.from_bytes(data[22:26], "little", signed=True))
+    at = 2
+    while data[:2] == b"\xff\xd8" and at + 9 < len(data) and data[at] == 0xFF:
+        if data[at + 1] in (0xC0, 0xC1, 0xC2, 0xC3):
+            return int.from_bytes(data[at + 7 : at + 9]), int.from_bytes(data[at + 5 : at + 7])
+        at += 2 + int.from_bytes(data[at + 2 : at + 4])
+    return None
+
+
+def package_pictures(data: bytes, extension: str) -> Iterator[bytes]:
+    """A package's pictures that may be scanned pages: those of a readable size of 64 x 32 pixels or more."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        for name, _ in package_media(data, extension):
+            with suppress(RuntimeError, zipfile.BadZipFile, NotImplementedError, zlib.error, EOFError):
+                picture = z.read(name)
+                size = image_size(picture)
+                if size and size[0] >= V.MIN_MEDIA_WIDTH and size[1] >= V.MIN_MEDIA_HEIGHT:
+                    yield picture
+
+
 def packages(files: DataFrame) -> DataFrame:
     """(arquivo, texto, midias, erro) of packages given as (arquivo, formato, conteudo)."""
 
@@ -179,3 +312,14 @@ def unhashed(files: DataFrame, hashes: DataFrame) -> DataFrame:
 def content_hashes(files: DataFrame) -> DataFrame:
     """(arquivo, sha256) of files given as (arquivo, conteudo); an unreadable one has no row."""
     return files.filter(F.col("conteudo").isNotNull()).select("arquivo", F.sha2("conteudo", 256).alias("sha256"))
+
+
+def append_hashes(hashes: DataFrame, path: str) -> None:
+    """New rows of the hash cache, one committed append per batch."""
+    append_lines(hashes.select("arquivo", "sha256"), path)
+
+
+def label_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, pasta) of the pictures that lie in label folders; a name that isn't a short id is passed over."""
+    rows = [(n.rsplit("/", 1)[-1].rsplit(".", 1)[0], n.rsplit("/", 1)[0]) for n, _ in listing(spark, folder) if "/" in n]
+    return spark.createDataFrame(rows, "id string, pasta string").filter(F.col("id").rlike("^[0-9a-f]{12}$") & F.col("pasta").isin(*V.LABEL_FOLDERS))

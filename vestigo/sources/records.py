@@ -8,6 +8,7 @@ decides "the last line wins".
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,15 @@ from ..functions.classify import back_in_scope
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, seq): text lines with their order: file name, then place in the file.
+    """(value, seq): text lines with their order: batch, file name, then place in the file.
 
-    ``monotonically_increasing_id`` follows the order of splits, which Spark keeps within a file;
-    files are ordered by name.
+    ``append_lines`` numbers its batches in the names of their folders, so later appends come later.
+    ``monotonically_increasing_id`` follows the order of splits, which Spark keeps within a file.
     """
-    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
-    return lines.select("value", F.struct("file", "line").alias("seq"))
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = text.select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
+    batch = F.coalesce(F.regexp_extract("file", "/lote-([0-9]+)/[^/]*$", 1).try_cast("long"), F.lit(0))
+    return lines.select("value", F.struct(batch.alias("batch"), "file", "line").alias("seq"))
 
 
 def parse(lines: DataFrame, schema: str, key: str) -> DataFrame:
@@ -76,7 +79,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     lines = numbered_lines(spark, path).filter(F.get_json_object("value", "$").isNotNull() & F.col("value").contains('"tem_assinatura"'))
     rows = parse(lines, schemas.LABEL, "sha256")
     last = rows.groupBy("sha256").agg(F.max_by(F.struct("tem_assinatura"), "seq").alias("last"), F.max("seq").alias("at"))
-    return last.select("sha256", "last.tem_assinatura", F.col("at.line").alias("seq"))
+    return last.select("sha256", "last.tem_assinatura", F.col("at.line").alias("seq"))  # a content has one row by now
 
 
 def read_triage(spark: SparkSession, path: str) -> DataFrame:
@@ -90,9 +93,31 @@ def write_labels(labels: DataFrame, path: str) -> None:
     rows.write.option("ignoreNullFields", "false").mode("overwrite").json(path)
 
 
+def append_lines(rows: DataFrame, path: str) -> None:
+    """One more batch of JSON lines: written aside, then given the next number by a rename.
+
+    A task that runs again adds no second line, and a run that dies leaves a folder that readers pass
+    over. Two writers at once are kept apart by the run lock, not here.
+    """
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = f"{path.rstrip('/')}/_novo-{uuid.uuid4().hex}"
+    rows.write.option("ignoreNullFields", "false").json(aside)
+    names = [s.getPath().getName() for s in fs.listStatus(base)]
+    last = max((int(n.removeprefix("lote-")) for n in names if n.startswith("lote-")), default=0)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/lote-{last + 1:08}")):
+        raise OSError(f"the batch in {aside} can't be given its number")
+
+
 def append_records(records: DataFrame, path: str) -> None:
-    """One committed append per batch: a task that runs again adds no second line."""
-    records.drop("seq", "first_seq").write.option("ignoreNullFields", "false").mode("append").json(path)
+    append_lines(records.drop("seq", "first_seq"), path)
+
+
+def append_label(spark: SparkSession, path: str, sha256: str, label: bool | None) -> None:
+    """One more label; the last one of a content counts."""
+    append_lines(spark.createDataFrame([(sha256, label)], schemas.LABEL), path)
 
 
 def read_parameters(path: str) -> dict:

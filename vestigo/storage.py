@@ -12,15 +12,24 @@ _tables: dict[tuple, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where that is unset, as in tests, a temporary folder."""
+    """The cluster's ``spark.checkpoint.dir``; where that is unset, the warehouse, or on one machine a temporary folder."""
     global _own_dir
     if base := spark.conf.get("spark.checkpoint.dir", None):
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_vestigo"
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="vestigo-")
     return _own_dir
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def persisted(spark: SparkSession, key: tuple, make) -> DataFrame:
     """The table that ``make()`` gives, written once per application and key and then read."""
     key = (spark.sparkContext.applicationId, *key)

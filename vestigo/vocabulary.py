@@ -18,6 +18,8 @@ MAX_MEDIA_FILES = 200
 MAX_ZIP_BYTES = 8 * 1024**3
 MAX_ZIP_FILES = 20_000
 MAX_ZIP_DEPTH = 3
+#: A member of an archive has to fit a binary value.
+MAX_MEMBER_BYTES = 1 << 30
 MIN_MEDIA_WIDTH, MIN_MEDIA_HEIGHT = 64, 32
 
 DARK_PIXEL = 200
