@@ -285,17 +285,17 @@ def plan_order(docs: DataFrame, rules: Iterable[Rule] = BASE_RULES + RULES, samp
     return [rules[k] for k in order]
 
 
-def cascade(docs: DataFrame, rules: Iterable[Rule], stats: Iterable[str] = (), base: Iterable[Rule] = (), runs: str | None = None) -> DataFrame:
-    """``docs`` with ``kept`` and the statistics asked for.
+def cascade(docs: DataFrame, rules: Iterable[Rule], stats: Iterable[str] = (), base: Iterable[Rule] = (), runs: str | None = None, kept: str = "kept") -> DataFrame:
+    """``docs`` with the verdict, named ``kept``, and the statistics asked for.
 
     The statistics asked for are computed for all documents, and so are those of ``base`` rules, whose
     verdict is ``base_failed``; each of ``rules`` runs on what the ones before it, ``base`` included,
     left. ``runs`` names a column for the number of rules that a document went through.
     """
     rules, stats, base = list(rules), list(stats), list(base)
-    names = [*stats, *(["base_failed"] if base else []), *([runs] if runs else []), "kept"]
+    names = [*stats, *(["base_failed"] if base else []), *([runs] if runs else []), kept]
     docs = docs.drop(*names)
-    kinds = [T.StructField(n, T.BooleanType() if n in ("kept", "base_failed") else T.LongType()) for n in names]
+    kinds = [T.StructField(n, T.BooleanType() if n in (kept, "base_failed") else T.LongType()) for n in names]
     schema = T.StructType([*docs.schema.fields, *kinds])
     at = docs.columns.index("text")
 

@@ -17,12 +17,14 @@ _own_dir: str | None = None
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: the cluster's ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in local tests, a temporary folder is used.
+    Where that setting is absent, it is the warehouse, and on one machine, as in tests, a temporary folder.
     """
     global _own_dir
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_vestigo"
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="vestigo-")
     return _own_dir
