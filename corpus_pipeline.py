@@ -1,7 +1,13 @@
 """From raw documents to token ids: quality rules, line dedup, near dedup, decontamination, encoding.
 
 Every stage takes (spark, docs, sf_dir), works on all that the one before kept,
-and returns a DataFrame; all but the last return the columns of ``documents``.
+and returns a DataFrame; all but the last return the columns of ``documents``, in
+their order and with any further column untouched, whatever its name.
+
+Defined results of every stage: a null text counts as an empty one; a null doc_id
+is an id like others where documents are compared (the smallest); a row that
+stands twice is judged twice alike; texts may be of any length; an empty table
+stays empty. Where a stage departs from that, its docstring says so.
 """
 
 from __future__ import annotations
@@ -15,28 +21,42 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that any rule rejects go; rules run in the order that a sample suggests."""
+    """Documents that any rule rejects go; rules run in the order that a sample suggests.
+
+    A null or empty text has too few words and goes.
+    """
     rules = quality.plan_order(docs, quality.BASE_RULES + quality.RULES)
-    return quality.cascade(docs, rules).filter("kept").drop("kept")
+    return quality.cascade(docs, rules, kept="__kept").filter("__kept").drop("__kept")
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in three documents or more stay in the last of them only."""
+    """Lines found in three documents or more stay in the last of them only.
+
+    All rows stay; a row that loses no line keeps its text as it was, null included. ``n_chars``
+    follows the text. Rows of one doc_id are one document, so its copies don't take lines from each other.
+    """
     return line_dedup.without_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8, the smallest id stays."""
+    """Of documents linked by five-word shingles at a similarity of 0.8, the smallest id stays.
+
+    Rows of one doc_id stay or go together; rows without one stand for the smallest id and stay. A text
+    without words is linked with nothing and stays.
+    """
     return near_dedup.one_per_group(docs, size=5, percent=80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold 80 % of a benchmark item's five-word shingles go."""
+    """Documents that hold 80 % of a benchmark item's five-word shingles go.
+
+    Items and documents of fewer than five words match nothing.
+    """
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and the ids of each text."""
+    """doc_id, lang, source, n_tokens and the ids of each text; a null or empty text has none."""
     import public_tokenizers
 
     rows = bpe.encode(docs, public_tokenizers.path(VOCABULARY), ("n_tokens", "ids"))

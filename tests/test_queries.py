@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from vestigo.plans import queries as plans
+from vestigo.plans import more, queries as plans  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

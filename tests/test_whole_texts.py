@@ -18,20 +18,20 @@ def far(spark, tmp_path):
 
 
 def test_cleaned_whole(spark, far):
-    got = plans.QUERIES["clean_signer_whole"](spark, far("ANA \n SILVA .;-")).first().nome
+    got = plans.QUERIES["clean_signer"](spark, far("ANA \n SILVA .;-")).first().nome
     assert got == FAR + "ANA SILVA"
 
 
 def test_names_of_a_whole_certificate(spark, far):
     names = [f"NOME {c * 3} SILVA" for c in "ABCDEF"]
-    got = plans.QUERIES["certificate_names_whole"](spark, far("1".join([*names[:2], *names]))).first().nomes
+    got = plans.QUERIES["certificate_names"](spark, far("1".join([*names[:2], *names]))).first().nomes
     assert got == names[:5]
 
 
 def test_stamps_and_labels_behind_any_text(spark, far):
     """doc_id % 4 decides what is put behind the text; nothing of the text gives way to it."""
     path = far(*["\nassinado por: ANA\n"] * 4, *["\nRecebi o documento"] * 4)
-    signers = {r.doc_id: (r.signatario, r.n_hits) for r in plans.QUERIES["signer_extract_whole"](spark, path).collect()}
+    signers = {r.doc_id: (r.signatario, r.n_hits) for r in plans.QUERIES["signer_extract"](spark, path).collect()}
     assert [signers[i][0] for i in range(4)] == ["ANA"] * 4 and [signers[i][1] for i in range(8)] == [3, 1, 1, 1, 2, 1, 0, 0]
-    cues = {r.doc_id: r.rotulo for r in plans.QUERIES["signature_label_cue_whole"](spark, path).collect()}
+    cues = {r.doc_id: r.rotulo for r in plans.QUERIES["signature_label_cue"](spark, path).collect()}
     assert [cues[i] for i in range(8)] == [False, False, True, False, True, True, True, True]

@@ -30,27 +30,43 @@ def rate(num: Column, den: Column, n: Column) -> tuple[Column, Column, Column]:
     return value, F.when(some, low), F.when(some, high)
 
 
+#: Slices of a band.
+SLICES = 1 << 20
+
+
 def _band(value: Column) -> Column:
     """A coarse integer that never falls as ``value`` rises: at most some hundred thousand bands for all doubles."""
     size = F.floor(F.log2(F.abs(value)) * 64) + 100_000
     return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
 
 
+def _within(rows: DataFrame, part: str, keys: tuple[str, ...], at) -> DataFrame:
+    """Per group: the part (an ordered integer) that holds an index, and the index inside it; ``at`` makes the index of the total."""
+    parts = rows.groupBy(*keys, part).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    parts = parts.withColumns({"upto": upto, "at": at(F.sum("n").over(Window.partitionBy(*keys)))})
+    hit = parts.filter((F.col("upto") > F.col("at")) & (F.col("upto") - F.col("n") <= F.col("at")))
+    return hit.select(*keys, part, (F.col("at") - F.col("upto") + F.col("n")).alias("inside"))
+
+
 def index_percentile(df: DataFrame, value: str, percent: int, *keys: str) -> DataFrame:
     """The value at 0-based index least(floor(n * percent / 100), n - 1) of each group.
 
-    Band counts, pre-aggregated, tell which band holds the index; only that
-    band's values are then ranked. No task sorts or collects a whole group.
+    Counts of bands, pre-aggregated, tell which band holds the index; that band is cut into about a
+    million slices between its least and largest value, and only the values of one slice, each once,
+    are put in order. No task sorts or collects a whole group.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"), _band(F.col(value)).alias("band"))
-    bands = rows.groupBy(*keys, "band").agg(F.count("*").alias("n"))
-    order = Window.partitionBy(*keys).orderBy("band")
-    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.sum("n").over(Window.partitionBy(*keys))
-    bands = bands.withColumns({"upto": upto, "at": F.least(F.floor(total * percent / 100), total - 1)})
-    hit = bands.filter((F.col("upto") > F.col("at")) & (F.col("upto") - F.col("n") <= F.col("at")))
-    hit = hit.select(*keys, "band", (F.col("at") - F.col("upto") + F.col("n")).alias("inside"))
-    counts = rows.join(hit, [*keys, "band"]).groupBy(*keys, "v", "inside").agg(F.count("*").alias("n"))
+    hit = _within(rows, "band", keys, lambda n: F.least(F.floor(n * percent / 100), n - 1))
+    ends = rows.groupBy(*keys, "band").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    inside = rows.join(hit.join(ends, [*keys, "band"]), [*keys, "band"])
+    place = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * SLICES  # never falls as v rises
+    inside = inside.withColumn("slice", F.when(F.col("high") > F.col("low"), F.floor(place)).otherwise(F.lit(0)).cast("bigint"))
+    slices = inside.groupBy(*keys, "slice").agg(F.count("*").alias("n"), F.first("inside").alias("inside"))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = slices.withColumn("upto", upto).filter((F.col("upto") > F.col("inside")) & (F.col("upto") - F.col("n") <= F.col("inside")))
+    found = found.select(*keys, "slice", (F.col("inside") - F.col("upto") + F.col("n")).alias("last"))
+    counts = inside.join(found, [*keys, "slice"]).groupBy(*keys, "v", "last").agg(F.count("*").alias("n"))
     below = F.sum("n").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    picked = counts.withColumn("below", below).filter((F.col("below") > F.col("inside")) & (F.col("below") - F.col("n") <= F.col("inside")))
+    picked = counts.withColumn("below", below).filter((F.col("below") > F.col("last")) & (F.col("below") - F.col("n") <= F.col("last")))
     return picked.select(*keys, F.col("v").alias(f"p{percent}_{value}"))

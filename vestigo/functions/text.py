@@ -78,7 +78,7 @@ def has_signature_label(text: Column | str) -> Column:
 
 def byte_range_valid(value: Column | str) -> Column:
     """Four numbers a b c d with a >= 0 and a + b <= c."""
-    n = F.transform(F.regexp_extract_all(F.coalesce(_c(value), F.lit("")), F.lit(r"-?\d+"), F.lit(0)), lambda x: x.cast("bigint"))
+    n = F.transform(F.regexp_extract_all(F.coalesce(_c(value), F.lit("")), F.lit(r"-?\d+"), F.lit(0)), lambda x: x.try_cast("bigint"))
     at = lambda k: F.try_element_at(n, F.lit(k))
     return F.coalesce((F.size(n) == 4) & (at(1) >= 0) & (at(1) + at(2) <= at(3)), F.lit(False))
 

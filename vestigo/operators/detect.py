@@ -187,6 +187,11 @@ def detect_documents(docs: DataFrame, pages: DataFrame, widgets: DataFrame, dete
     )
 
 
+#: What matters in a literal string: an escape or a parenthesis.
+_LITERAL = re.compile(r"\\(?:[0-7]{1,3}|[\s\S]?)|[()]")
+_ESCAPED = {"n": "\n", "r": "\r", "t": "\t", "b": "\b", "f": "\f"}
+
+
 @pandas_udf(T.BinaryType())
 def pdf_contents(obj: pd.Series) -> pd.Series:
     """Bytes of a ``/Contents`` entry, hexadecimal or literal with balanced parentheses and escapes."""
@@ -200,24 +205,18 @@ def pdf_contents(obj: pd.Series) -> pd.Series:
             digits = re.sub(r"\s", "", m[1])
             return bytes.fromhex(digits[: len(digits) & ~1])
         start = tail.find("(")
-        out, depth, k = bytearray(), 0, start
-        simple = {"n": 10, "r": 13, "t": 9, "b": 8, "f": 12}
-        while 0 <= k < len(tail):
-            c = tail[k]
-            if c == "\\" and k + 1 < len(tail):
-                if m := re.match(r"[0-7]{1,3}", tail[k + 1 :]):
-                    out.append(int(m[0], 8) & 0xFF)
-                    k += 1 + len(m[0])
-                else:
-                    out += bytes([simple[tail[k + 1]]]) if tail[k + 1] in simple else tail[k + 1].encode("latin-1", "replace")
-                    k += 2
+        out, depth, at = [], 0, start
+        for m in _LITERAL.finditer(tail, start) if start >= 0 else ():
+            out.append(tail[at : m.start()])
+            at, c = m.end(), m[0]
+            if c[0] == "\\":
+                out.append(chr(int(c[1:], 8) & 0xFF) if c[1:2].isdigit() else _ESCAPED.get(c[1:], c[1:]))
                 continue
-            depth += (c == "(") - (c == ")")
-            if depth == 0:
-                return bytes(out)
-            if k > start:
-                out += c.encode("latin-1", "replace")
-            k += 1
+            depth += 1 if c == "(" else -1
+            if not depth:
+                return "".join(out).encode("latin-1", "replace")
+            if m.start() > start:
+                out.append(c)
         return b""
 
     return obj.map(read)

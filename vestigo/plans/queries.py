@@ -208,12 +208,19 @@ def sample_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audit(spark, sf_dir)[1]
 
 
-@query("SELECT 0 AS n_missing")
+def _drawn(budget: int) -> str:
+    """Documents that a budget draws, counted, in DuckDB SQL."""
+    return f"""(SELECT CAST(sum(least(tamanho, greatest({FLOOR}, CAST(round_even({budget} * tamanho / side, 0) AS BIGINT)))) AS BIGINT)
+    FROM (SELECT tamanho, sum(tamanho) OVER (PARTITION BY substr(estrato, 1, 4)) AS side FROM sizes))"""
+
+
+@query(_AUDIT + f" SELECT {_drawn(100)} AS n_small, {_drawn(300)} AS n_large, {_drawn(100)} AS n_shared")
 def sample_nested_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of a smaller sample that a larger one lacks: none."""
+    """A smaller sample, a larger one, and what they share: all of the smaller."""
     r = lot.records(spark, sf_dir)
-    small, large = (sampling.draw(r.drop("sha256"), lot.hashes(r), n, n, SEED, FLOOR).select("arquivo") for n in (100, 300))
-    return small.join(large, "arquivo", "left_anti").agg(F.count("*").cast("int").alias("n_missing"))
+    small, large = (sampling.draw(r.drop("sha256"), lot.hashes(r), n, n, SEED, FLOOR).select("arquivo", F.lit(n).alias("of")) for n in (100, 300))
+    by = small.unionByName(large).groupBy("arquivo").agg(F.count_if(F.col("of") == 100).alias("s"), F.count_if(F.col("of") == 300).alias("l"))
+    return by.agg(F.sum("s").alias("n_small"), F.sum("l").alias("n_large"), F.count_if((F.col("s") > 0) & (F.col("l") > 0)).alias("n_shared"))
 
 
 @query(_AUDIT + " SELECT id, count(DISTINCT sha256) AS n_contents FROM idx GROUP BY id HAVING count(DISTINCT sha256) > 1")
@@ -324,12 +331,29 @@ def triage_review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triage.review_ids(triage.cards(*_audit(spark, sf_dir)).filter("classe in ('fn', 'fp')").withColumn("causa", cause))
 
 
-@query(_CARDS + """ SELECT c.arquivo, r.formato || ' (' || r.tipo || ') · ' || c.copias || ' cópia(s) desse conteúdo no lote' AS formato, CAST(r.paginas AS VARCHAR) || ' no documento · ' || r.paginas_analisadas_nivel1
-    || ' analisadas no Nível 1 · ' || r.paginas_em_branco || ' em branco (não vão ao Nível 1)' AS paginas FROM cards c JOIN records r ON r.arquivo = c.arquivo""")
+_YES = "CASE WHEN {} THEN 'sim' ELSE 'não' END"
+_DETAILS = {
+    "Arquivo": "r.arquivo",
+    "Formato": "r.formato || ' (' || r.tipo || ') · ' || c.copias || ' cópia(s) desse conteúdo no lote'",
+    "Assinaturas contadas": "CAST(r.assinaturas_total AS VARCHAR)",
+    "Nível 0 — AcroForm `/Sig`": _YES.format("r.nivel0_total > 0 AND r.doc_id % 2 = 0") + " || ' · ' || r.nivel0_total || ' sinal(is) no Nível 0 (AcroForm + carimbo)'",
+    "Nível 0 — carimbo digital no texto": _YES.format("r.nivel0_total > 0 AND r.doc_id % 2 = 1"),
+    "Nível 1 — detecções visuais": "CAST(r.nivel1_total AS VARCHAR)",
+    "Signatários lidos": "CASE WHEN r.nivel0_total > 0 AND r.doc_id % 2 = 1 THEN 'Signer ' || r.doc_id % 9 ELSE '—' END",
+    "Páginas": "CAST(r.paginas AS VARCHAR) || ' no documento · ' || r.paginas_analisadas_nivel1 || ' analisadas no Nível 1 · ' || r.paginas_em_branco || ' em branco (não vão ao Nível 1)'",
+    "Fallback 3×3": "r.paginas_ladrilhadas || ' página(s) ladrilhada(s) — 9 inferências por página'",
+    "Truncado em `--max-paginas`": _YES.format("r.paginas_limitadas"),
+    "Erro do Nível 1": "coalesce(r.nivel1_erro, '—')",
+    "Observação": "CASE WHEN r.tipo = 'zip' THEN 'contêiner expandido' ELSE '—' END",
+}
+
+
+@query(_CARDS + " SELECT c.arquivo, unnest([" + ", ".join(f"struct_pack(rotulo := '{k}', valor := {v})" for k, v in _DETAILS.items()) + "], recursive := true) FROM cards c JOIN records r ON r.arquivo = c.arquivo")
 def triage_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All twelve pairs of every card."""
     r, index, labels = _audit(spark, sf_dir)
     rows = triage.details(r, triage.cards(r, index, labels))
-    return rows.select("arquivo", F.element_at("detalhes", 2)["valor"].alias("formato"), F.element_at("detalhes", 8)["valor"].alias("paginas"))
+    return rows.select("arquivo", F.explode("detalhes").alias("d")).select("arquivo", "d.rotulo", "d.valor")
 
 
 # --- form fields ---
@@ -389,76 +413,40 @@ def acroform_only_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- text ---
 
-_STAMPED = """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'Assinado digitalmente por: ' || replace(substr(coalesce(text, ''), 1, 24), chr(10), ' ') || ' .,' || chr(10) || 'assinada por: fim' WHEN doc_id % 4 = 1 THEN 'x ICP Brasil ' || coalesce(text, '')
-    WHEN doc_id % 4 = 2 THEN 'Assinatura do empregado: ____' ELSE coalesce(text, '') END AS t FROM documents)"""
-
-
-def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, t = F.col("doc_id"), F.coalesce("text", F.lit(""))
-    head = F.regexp_replace(F.substring(t, 1, 24), "\n", " ")
-    made = F.when(i % 4 == 0, F.concat(F.lit("Assinado digitalmente por: "), head, F.lit(" .,\nassinada por: fim"))).when(i % 4 == 1, F.concat(F.lit("x ICP Brasil "), t)).when(i % 4 == 2, F.lit("Assinatura do empregado: ____")).otherwise(t)
-    return lot.table(spark, sf_dir, "documents").select("doc_id", made.alias("t"))
-
-
-_CLEAN = "trim(trim(regexp_replace({}, '\\s+', ' ', 'g')), ' .,:;-')"
-
-
-@query(_STAMPED + """, n AS (SELECT doc_id, t, list_filter(list_transform(regexp_extract_all(t, '(?i)assinad[oa]\\s+(?:digitalmente|eletronicamente)?\\s*por[:\\s]+([^\\n\\r]+)', 1), lambda x: """ + _CLEAN.format("x") + """), lambda x: x <> '') AS s FROM d)
-SELECT doc_id, CASE WHEN len(s) > 0 THEN s[1] END AS signatario, CAST(CASE WHEN len(s) > 1 AND lower(s[2]) <> lower(s[1]) THEN 2 WHEN len(s) > 0 THEN 1 WHEN regexp_matches(t, '(?i)icp[-\\s]?brasil') THEN 1 ELSE 0 END AS INTEGER) AS n_hits FROM n""")
-def signer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stamped(spark, sf_dir).withColumn("h", X.stamp_hits("t"))
-    return rows.select("doc_id", F.try_element_at("h", F.lit(1))["signatario"].alias("signatario"), F.size("h").alias("n_hits"))
-
-
-@query(_STAMPED + " SELECT doc_id, doc_id % 4 = 2 AS rotulo FROM d")
-def signature_label_cue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stamped(spark, sf_dir).select("doc_id", X.has_signature_label("t").alias("rotulo"))
-
-
-@query("SELECT doc_id, " + _CLEAN.format("replace(substr(coalesce(text, ''), 1, 60), chr(10), ' ')") + " AS nome FROM documents")
-def clean_signer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.regexp_replace(F.substring(F.coalesce("text", F.lit("")), 1, 60), "\n", " ")
-    return lot.table(spark, sf_dir, "documents").select("doc_id", X.clean_signer(raw).alias("nome"))
-
-
 @query("SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '</[wa]:p>|<[wa]:br\\s*/>|<w:cr\\s*/>', chr(10), 'g'), '<w:tab\\s*/>', chr(9), 'g'), '<[^>]+>', '', 'g') AS texto FROM pages")
 def ooxml_text_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lot.table(spark, sf_dir, "pages").select("page_id", X.ooxml_plain(F.coalesce("html", F.lit(""))).alias("texto"))
 
 
-@query("SELECT doc_id, doc_id % 4 <> 3 AND doc_id % 7 <= 3 AS valido FROM documents")
+@query("""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, '') || ' [0 ' || doc_id % 7 || ' 3' || CASE WHEN doc_id % 4 = 3 THEN ']' ELSE ' 9]' END, '-?[0-9]+') AS n FROM documents)
+SELECT doc_id, coalesce(len(n) = 4 AND TRY_CAST(n[1] AS BIGINT) >= 0 AND TRY_CAST(n[1] AS BIGINT) + TRY_CAST(n[2] AS BIGINT) <= TRY_CAST(n[3] AS BIGINT), FALSE) AS valido FROM d""")
 def byte_range_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range behind every whole text: numbers in the text spoil it."""
     i = F.col("doc_id")
-    three = F.concat_ws(" ", F.lit("[0"), (i % 7).cast("string"), F.lit("3"))
-    value = F.when(i % 4 == 3, F.concat(three, F.lit("]"))).otherwise(F.concat(three, F.lit(" 9]")))
+    value = F.concat(F.coalesce("text", F.lit("")), F.lit(" [0 "), (i % 7).cast("string"), F.lit(" 3"), F.when(i % 4 == 3, "]").otherwise(" 9]"))
     return lot.table(spark, sf_dir, "documents").select("doc_id", X.byte_range_valid(value).alias("valido"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN CAST((12 + doc_id % 3) // 2 AS INTEGER) END AS n_bytes FROM documents")
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN octet_length(encode(coalesce(text, ''))) - CASE WHEN doc_id % 3 = 0 AND coalesce(text, '') <> '' THEN 1 ELSE 0 END END AS n_bytes FROM documents""")
 def hex_contents_len(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = F.col("doc_id")
-    digits = F.substring(F.lit("0a1b2c3d4e5f6a7b"), F.lit(1), (12 + i % 3).cast("int"))
+    """Every whole text as hexadecimal contents, some without their last digit."""
+    i, digits = F.col("doc_id"), F.hex(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    digits = F.when(i % 3 == 0, F.substring(digits, F.lit(1), F.greatest(F.char_length(digits) - 1, F.lit(0)))).otherwise(digits)
     obj = F.when(i % 5 != 0, F.concat(F.lit("<< /Contents < "), digits, F.lit(" > >>"))).otherwise("<< /Contents (x) >>")
-    return lot.table(spark, sf_dir, "documents").select("doc_id", F.octet_length(X.hex_contents(obj)).alias("n_bytes"))
-
-
-@query("SELECT doc_id, regexp_extract_all(translate(substr(coalesce(text, ''), 1, 40), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[A-Z][A-Z]+(?:[ ][A-Z][A-Z]*){1,6}', 0)[1] AS nome FROM documents")
-def certificate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.translate(F.substring(F.coalesce("text", F.lit("")), 1, 40), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("binary")
-    return lot.table(spark, sf_dir, "documents").select("doc_id", F.try_element_at(X.certificate_names(raw), F.lit(1)).alias("nome"))
+    return lot.table(spark, sf_dir, "documents").select("doc_id", F.octet_length(X.hex_contents(obj)).cast("long").alias("n_bytes"))
 
 
 _SPACE = r"[\t-\r \x{85}\pZ]+"
 
 
 @query(f"SELECT doc_id, trim(trim(regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g')), ' .,:;-') AS nome FROM documents")
-def clean_signer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_signer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lot.table(spark, sf_dir, "documents").select("doc_id", X.clean_signer(F.coalesce("text", F.lit(""))).alias("nome"))
 
 
 @query("""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[A-Z][A-Z]+(?:[ ][A-Z][A-Z]*){1,6}', 0) AS n FROM documents)
 SELECT doc_id, list_filter(n, lambda x, i: list_position(n, x) = i)[1:5] AS nomes FROM d""")
-def certificate_names_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def certificate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.translate(F.coalesce("text", F.lit("")), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("binary")
     return lot.table(spark, sf_dir, "documents").select("doc_id", X.certificate_names(raw).alias("nomes"))
 
@@ -492,13 +480,13 @@ _LABEL = _re2(
 
 @query(_STAMPED_WHOLE + f""", n AS (SELECT doc_id, t, list_filter(list_transform(regexp_extract_all(t, {_SIGNER}, 1), lambda x: trim(trim(regexp_replace(x, '{_SPACE}', ' ', 'g')), ' .,:;-')), lambda x: x <> '') AS s FROM d)
 SELECT doc_id, CASE WHEN len(s) > 0 THEN s[1] END AS signatario, CAST(CASE WHEN len(s) > 0 THEN len(list_distinct(list_transform(s, lambda x: lower(x)))) WHEN regexp_matches(t, {_MARK}) THEN 1 ELSE 0 END AS INTEGER) AS n_hits FROM n""")
-def signer_extract_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def signer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _stamped_whole(spark, sf_dir).withColumn("h", X.stamp_hits("t"))
     return rows.select("doc_id", F.try_element_at("h", F.lit(1))["signatario"].alias("signatario"), F.size("h").alias("n_hits"))
 
 
 @query(_STAMPED_WHOLE + f" SELECT doc_id, regexp_matches(t, {_LABEL}) AS rotulo FROM d")
-def signature_label_cue_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def signature_label_cue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamped_whole(spark, sf_dir).select("doc_id", X.has_signature_label("t").alias("rotulo"))
 
 
@@ -552,12 +540,12 @@ _IOU = """(greatest(least({0}.r, {1}.r) - greatest({0}.l, {1}.l), 0.0) * greates
     / (({0}.r - {0}.l) * ({0}.m - {0}.t) + ({1}.r - {1}.l) * ({1}.m - {1}.t) - greatest(least({0}.r, {1}.r) - greatest({0}.l, {1}.l), 0.0) * greatest(least({0}.m, {1}.m) - greatest({0}.t, {1}.t), 0.0))"""
 
 
-@query(_BOXES + " SELECT x.i AS a, y.i AS b, round(" + _IOU.format("x", "y") + ", 6) AS iou FROM b x JOIN b y ON x.grupo = y.grupo AND y.i = x.i + 1")
+@query(_BOXES + " SELECT x.i AS a, y.i AS b, round(" + _IOU.format("x", "y") + ", 6) AS iou FROM b x JOIN b y ON x.grupo = y.grupo AND x.i % 25 = 0")
 def iou_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbours of a group, box by box."""
-    rows = _grouped_boxes(spark, sf_dir).select(F.array_sort("boxes", lambda x, y: x["index"] - y["index"]).alias("boxes"))
-    pairs = F.zip_with(F.slice("boxes", F.lit(1), F.size("boxes") - 1), F.slice("boxes", F.lit(2), F.size("boxes") - 1), lambda x, y: F.struct(x["index"].cast("bigint").alias("a"), y["index"].cast("bigint").alias("b"), F.round(G.iou(x, y), 6).alias("iou")))
-    return rows.filter(F.size("boxes") > 1).select(F.inline(pairs))
+    """The first box of each group against all of its boxes."""
+    rows = _grouped_boxes(spark, sf_dir).withColumn("one", F.filter("boxes", lambda x: x["index"] % 25 == 0))
+    pairs = F.flatten(F.transform("one", lambda x: F.transform("boxes", lambda y: F.struct(x["index"].cast("bigint").alias("a"), y["index"].cast("bigint").alias("b"), F.round(G.iou(x, y), 6).alias("iou")))))
+    return rows.select(F.inline(pairs))
 
 
 @query(_BOXES + """, g AS (SELECT grupo, list([struct_pack(i := i, l := l, t := t, r := r, m := m)] ORDER BY s DESC, i) AS boxes FROM b GROUP BY grupo),

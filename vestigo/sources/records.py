@@ -12,9 +12,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import schemas
 from ..functions.classify import back_in_scope
+from ..storage import materialise, shuffle_width
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -55,6 +57,21 @@ def ordered(records: DataFrame) -> DataFrame:
     return records.orderBy(F.lower("arquivo"), *extra)
 
 
+def numbered(records: DataFrame) -> DataFrame:
+    """Records with ``n``, their number in path order from 1 on.
+
+    Ranges are sorted where they lie and counted; a range's first number is the sum of the counts before it.
+    """
+    parts = shuffle_width(records.sparkSession)
+    by = [F.lower("arquivo"), *(["first_seq"] if "first_seq" in records.columns else []), "arquivo"]
+    at = F.monotonically_increasing_id()
+    rows = records.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumns({"range": F.shiftright(at, 33).cast("int"), "place": at.bitwiseAND(F.lit((1 << 33) - 1))})
+    rows = materialise(rows, "numbered")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return rows.join(F.broadcast(sizes), "range").withColumn("n", F.col("before") + F.col("place") + 1).drop("range", "place", "before")  # a row per range
+
+
 def completed(rows: DataFrame) -> DataFrame:
     """Documents that need no new run: any of their lines is final (all lines count, not only the last)."""
     return rows.filter(~F.coalesce(back_in_scope(), F.lit(False))).select("arquivo").distinct()

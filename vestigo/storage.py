@@ -23,9 +23,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -39,3 +43,7 @@ def persisted(spark: SparkSession, key: tuple, make) -> DataFrame:
         df.write.parquet(path)
         _tables[key] = path
     return spark.read.parquet(_tables[key])
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
