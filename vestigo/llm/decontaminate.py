@@ -3,11 +3,14 @@
 An item with n distinct five-word shingles is contained in a document when at
 least ``percent`` per cent of them occur there. Banded signatures of whole
 documents can't find a 30-shingle item in a text of 20,000 shingles (their
-Jaccard similarity is 0.0015), so the sketch is taken on the item's side and
-sized by its partition: items of n shingles are sketched by their
-k = n - ceil(percent * n / 100) + 1 smallest MinHash values. Any contained item
-must show one of them, so no item is missed. A document looks up its shingles
-in the sketches; each hit is settled by exact containment on full sets.
+Jaccard similarity is 0.0015), so the signature is on the item's side: items are
+partitioned by size, a partition for each power of two, and an item's signature
+is its m smallest MinHash values. With at most ``miss`` shingles absent from a
+document that contains the item, at least m - miss of any m values are there; m
+is 2 * miss + 1 for the largest item of the partition, or all of a smaller item.
+A document looks up its shingles in each partition's signatures, items that reach
+their count are candidates, none is missed, and exact containment on full sets
+decides.
 
 Documents are read once where they lie and nothing is shuffled. Items come in
 blocks of bounded size (``BLOCK_BYTES`` of text), which the driver hands to the
@@ -36,34 +39,56 @@ BLOCK_BYTES = 8 << 20
 _BITS = 20
 
 
+@dataclass(frozen=True)
+class _Partition:
+    """Signatures of the items of one size class."""
+
+    probes: np.ndarray  # sorted distinct signature values
+    at: np.ndarray  # items of probe i: owner[at[i]:at[i + 1]]
+    owner: np.ndarray
+    need: np.ndarray  # by item: values of its signature that a document must have
+
+
 @dataclass(frozen=True)
 class _Items:
-    """Shingle sets of a block of items and the table of their sketches."""
+    """Shingle sets of a block of items and their partitions by size."""
 
     ids: list
     sets: list[np.ndarray]
-    probes: np.ndarray  # sorted distinct sketch values
-    at: np.ndarray  # items of probe i: owner[at[i]:at[i + 1]]
-    owner: np.ndarray
-    seen: np.ndarray  # by the low bits of a value: whether any probe has them
+    partitions: list[_Partition]
+    seen: np.ndarray  # by the low bits of a value: whether any signature has them
 
 
 def _sketch(ids: list, texts: list[str | None], percent: int) -> _Items:
     h, at = Words(pa.array(texts, pa.string())).shingles(SHINGLE, whole_if_short=False)
     sets = [h[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-    probe, owner = [], []
-    for i, s in enumerate(sets):
-        if len(s):
-            k = len(s) - -(-percent * len(s) // 100) + 1
-            probe.append(s[np.argsort(mix(s))[:k]])
-            owner.append(np.full(k, i))
-    probe = np.concatenate(probe) if probe else np.zeros(0, np.uint64)
-    owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-    order = np.argsort(probe, kind="stable")
-    values, first = np.unique(probe[order], return_index=True)
-    seen = np.zeros(1 << _BITS, bool)
-    seen[values & np.uint64((1 << _BITS) - 1)] = True
-    return _Items(ids, sets, values, np.append(first, len(probe)), owner[order], seen)
+    size = np.diff(at)
+    miss = size - -(-percent * size // 100)
+    seen, partitions = np.zeros(1 << _BITS, bool), []
+    for power in np.unique(np.log2(size[size > 0]).astype(int)).tolist():
+        own = np.flatnonzero((size >= 1 << power) & (size < 2 << power))
+        m = 2 * int(miss[own].max()) + 1
+        signature = [np.sort(mix(sets[i]))[:m] for i in own.tolist()]
+        probe, owner = np.concatenate(signature), np.repeat(own, [len(x) for x in signature])
+        order = np.argsort(probe, kind="stable")
+        values, first = np.unique(probe[order], return_index=True)
+        need = np.zeros(len(sets), np.int64)
+        need[own] = np.minimum(size[own], m) - miss[own]
+        seen[values & np.uint64((1 << _BITS) - 1)] = True
+        partitions.append(_Partition(values, np.append(first, len(probe)), owner[order], need))
+    return _Items(ids, sets, partitions, seen)
+
+
+def _candidates(text: np.ndarray, value: np.ndarray, part: _Partition, items: int) -> np.ndarray:
+    """(text, item) of items of which a text has enough signature values, as text * items + item."""
+    place = np.minimum(np.searchsorted(part.probes, value), len(part.probes) - 1)
+    hit = part.probes[place] == value
+    once = np.unique(text[hit] * len(part.probes) + place[hit])  # a shingle that a text repeats counts once
+    text, place = once // len(part.probes), once % len(part.probes)
+    fan = part.at[place + 1] - part.at[place]
+    at = np.repeat(part.at[place], fan) + np.arange(int(fan.sum())) - np.repeat(np.cumsum(fan) - fan, fan)
+    pair, count = np.unique(np.repeat(text, fan) * items + part.owner[at], return_counts=True)
+    return pair[count >= part.need[pair % items]]
 
 
 def _item_blocks(items: DataFrame, percent: int):
@@ -79,21 +104,20 @@ def _search(column: pa.Array, items: _Items, percent: int) -> list[tuple[int, in
     """(text, item, shared shingles) of every contained item."""
     w = Words(column)
     h, valid = w.windows(SHINGLE)
-    at = np.flatnonzero(items.seen[h & np.uint64((1 << _BITS) - 1)] & valid)
-    if not len(at) or not len(items.probes):
+    value = mix(h)
+    at = np.flatnonzero(items.seen[value & np.uint64((1 << _BITS) - 1)] & valid)
+    if not len(at) or not items.partitions:
         return []
-    place = np.minimum(np.searchsorted(items.probes, h[at]), len(items.probes) - 1)
-    hit = items.probes[place] == h[at]
-    at, place = at[hit], place[hit]
     text = np.searchsorted(w.bound, at, "right") - 1
-    found = []
-    for i in np.unique(text).tolist():
-        own = np.unique(h[w.bound[i] : w.bound[i + 1]][valid[w.bound[i] : w.bound[i + 1]]])
-        candidates = {int(x) for p in set(place[text == i].tolist()) for x in items.owner[items.at[p] : items.at[p + 1]]}
-        for c in sorted(candidates):
-            shared = int(np.isin(items.sets[c], own, assume_unique=True).sum())
-            if 100 * shared >= percent * len(items.sets[c]):
-                found.append((i, c, shared))
+    n = len(items.sets)
+    pairs = np.sort(np.concatenate([_candidates(text, value[at], p, n) for p in items.partitions]))
+    found, last, own = [], -1, None
+    for i, c in zip((pairs // n).tolist(), (pairs % n).tolist(), strict=True):
+        if i != last:
+            last, own = i, np.unique(h[w.bound[i] : w.bound[i + 1]][valid[w.bound[i] : w.bound[i + 1]]])
+        shared = int(np.isin(items.sets[c], own, assume_unique=True).sum())
+        if 100 * shared >= percent * len(items.sets[c]):
+            found.append((i, c, shared))
     return found
 
 
