@@ -43,3 +43,19 @@ def test_head_and_session():
 
     detect = model.onnx_detector(lambda page, tile: np.zeros((8, 8, 3), np.uint8), Session)
     assert detect(b"page", None).shape == (5, 6)
+
+
+def test_contact_sheets():
+    from vestigo.operators import sheet
+    from vestigo.sources.files import image_size
+
+    pages = [np.full((40, 30, 3), k, np.uint8) for k in range(8)]
+    got = sheet.compose(pages[:5])
+    assert [sheet.columns(k) for k in (0, 1, 2, 4, 5, 6)] == [1, 1, 2, 2, 3, 3] and got.shape == (12 + 2 * 52, 12 + 3 * 42, 3)
+    assert (got[12:52, 12:42] == 0).all() and (got[64:104, 54:84] == 4).all() and (got[64:104, 96:126] == 255).all()
+    wide = sheet.compose([np.full((100, 2800, 3), 9, np.uint8)])
+    assert wide.shape == (50 + 24, 1400 + 24, 3) and (wide[12:62, 12:1412] == 9).all()
+    out = sheet.contact_sheet(lambda data, extension: pages)(b"x", ".pdf")
+    assert image_size(out) == (12 + 3 * 42, 12 + 2 * 52) and b"6 de 8 paginas" in out
+    with pytest.raises(ValueError):
+        sheet.contact_sheet(lambda data, extension: [])(b"x", ".pdf")
