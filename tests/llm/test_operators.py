@@ -609,6 +609,65 @@ def test_tree_concatenation():
         assert np.frombuffer(ids, "<u4").tolist() == e and decoded == t.decode(e, skip_special_tokens=False)
 
 
+def test_a_megabyte_without_a_space():
+    path = P.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    t, codec, rng = Tokenizer.from_file(path), bpe.Codec(path), random.Random(4)
+    for alphabet, n in (("abcdeéñ'漢01", 1_000_000), ("a", 300_000), ("the're", 200_000), ("e\u0301", 100_000), ("!?", 100_000), ("\x1f\u00a0ab", 100_000)):
+        s = "".join(rng.choice(alphabet) for _ in range(n))
+        assert codec.encode_unsplit(s) == t.encode(s, add_special_tokens=False).ids
+
+
+def test_long_words_go_through_the_tree(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from vestigo.llm import queries as Q
+
+    path, rng = P.path("word_bpe_49k.json"), random.Random(6)
+    word = lambda n: "".join(rng.choice(["ab", "the", "é", "<|endoftext|>", "'ll", "9", "漢", "-", "\x00"]) for _ in range(n))
+    texts = [" ".join(word(rng.randint(1, 40)) for _ in range(30)) for _ in range(40)] + [word(9000), word(3) + "\n" + word(9000), "x" * 16, "x" * 17, None, ""]
+    codec = bpe.Codec(path)
+    long = {w for t in texts for w in (t or "").encode().split() if len(w) > bpe.LEAF_BYTES}
+    codec.encode_block(pa.array(texts))
+    assert codec.trees == len(long) > 500
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(path)
+    want = []
+    for i, x in enumerate(texts):
+        ids = t.encode(x or "", add_special_tokens=False).ids
+        want.append((i, len(ids), _sha(np.array(ids, "<u4").tobytes()), _sha(t.decode(ids, skip_special_tokens=False))))
+    assert _columns(Q.op9_bpe(spark, str(tmp_path)), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == _sorted(want)
+
+
+def test_a_full_table_changes_nothing():
+    path, rng = P.path("word_bpe_49k.json"), random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(3000)}x{'y' * rng.randrange(30)}" for _ in range(60)) for _ in range(40)]
+    big = bpe.Codec(path)
+    for small in (bpe.Codec(path, cache_words=10), bpe.Codec(path, cache_bytes=100)):
+        for t in texts:
+            assert small.encode(t) == big.encode(t)
+    table = bpe._Table()
+    table.slot = table.slot[:8].copy()
+    for k in range(200):  # the slots grow with the entries
+        made = table.add([[k]])
+        table.put(made, np.array([k], np.uint64), np.array([7], np.uint64), np.array([1]))
+    assert table.find(np.arange(220, dtype=np.uint64), np.full(220, 7, np.uint64), np.ones(220, np.int64)).tolist() == [*range(200), *[-1] * 20]
+
+
+def test_neighbouring_tokens_decide_an_encoding():
+    """Why one agreed token inside a split is enough: a run of letters is the encoding of its text pair by pair."""
+    from tokenizers import Tokenizer
+
+    t, rng = Tokenizer.from_file(P.path("word_bpe_49k.json")), random.Random(3)
+    for _ in range(300):
+        s = "".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 40)))
+        e = t.encode(s, add_special_tokens=False)
+        for (a, _), (_, b) in zip(e.offsets, e.offsets[1:], strict=False):
+            inner = t.encode(s[a:b] + s[b:], add_special_tokens=False)
+            assert inner.offsets[0][1] + a == next(y for x, y in e.offsets if x == a)
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_sketches_of_pairs_at_the_threshold_agree_enough(percent):
     q, n, k = percent / 100, near_dedup.COORDINATES, near_dedup.floor_for(percent)
