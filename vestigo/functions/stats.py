@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,33 +42,32 @@ def _band(value: Column) -> Column:
     return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
 
 
-def _within(rows: DataFrame, part: str, keys: tuple[str, ...], at) -> DataFrame:
-    """Per group: the part (an ordered integer) that holds an index, and the index inside it; ``at`` makes the index of the total."""
-    parts = rows.groupBy(*keys, part).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    parts = parts.withColumns({"upto": upto, "at": at(F.sum("n").over(Window.partitionBy(*keys)))})
-    hit = parts.filter((F.col("upto") > F.col("at")) & (F.col("upto") - F.col("n") <= F.col("at")))
-    return hit.select(*keys, part, (F.col("at") - F.col("upto") + F.col("n")).alias("inside"))
-
-
-def index_percentile(df: DataFrame, value: str, percent: int, *keys: str) -> DataFrame:
-    """The value at 0-based index least(floor(n * percent / 100), n - 1) of each group.
+def at_indexes(df: DataFrame, value: str, indexes: dict[str, Callable[[Column], Column]], *keys: str) -> DataFrame:
+    """(keys, name, v): per group the value at each named 0-based index; an index is a function of the group's size.
 
-    Counts of bands, pre-aggregated, tell which band holds the index; that band is cut into about a
+    Counts of bands, pre-aggregated, tell which band holds an index; that band is cut into about a
     million slices between its least and largest value, and only the values of one slice, each once,
-    are put in order. No task sorts or collects a whole group.
+    are put in order. No task sorts or collects a whole group, and all indexes share the three passes.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"), _band(F.col(value)).alias("band"))
-    hit = _within(rows, "band", keys, lambda n: F.least(F.floor(n * percent / 100), n - 1))
-    ends = rows.groupBy(*keys, "band").agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    inside = rows.join(hit.join(ends, [*keys, "band"]), [*keys, "band"])
+    bands = rows.groupBy(*keys, "band").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    upto = lambda by, *part: F.sum("n").over(Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    holds = lambda at: (F.col("upto") > F.col(at)) & (F.col("upto") - F.col("n") <= F.col(at))
+    total = F.col("total")
+    named = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), f(total).cast("bigint").alias("at")) for k, f in indexes.items()]))
+    bands = bands.withColumns({"upto": upto("band", *keys), "total": F.sum("n").over(Window.partitionBy(*keys))}).withColumn("w", named).select("*", "w.*")
+    hit = bands.filter(holds("at")).select(*keys, "name", "band", "low", "high", (F.col("at") - F.col("upto") + F.col("n")).alias("inside"))
+    inside = rows.join(hit, [*keys, "band"])
     place = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * SLICES  # never falls as v rises
     inside = inside.withColumn("slice", F.when(F.col("high") > F.col("low"), F.floor(place)).otherwise(F.lit(0)).cast("bigint"))
-    slices = inside.groupBy(*keys, "slice").agg(F.count("*").alias("n"), F.first("inside").alias("inside"))
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = slices.withColumn("upto", upto).filter((F.col("upto") > F.col("inside")) & (F.col("upto") - F.col("n") <= F.col("inside")))
-    found = found.select(*keys, "slice", (F.col("inside") - F.col("upto") + F.col("n")).alias("last"))
-    counts = inside.join(found, [*keys, "slice"]).groupBy(*keys, "v", "last").agg(F.count("*").alias("n"))
-    below = F.sum("n").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    picked = counts.withColumn("below", below).filter((F.col("below") > F.col("last")) & (F.col("below") - F.col("n") <= F.col("last")))
-    return picked.select(*keys, F.col("v").alias(f"p{percent}_{value}"))
+    slices = inside.groupBy(*keys, "name", "slice").agg(F.count("*").alias("n"), F.first("inside").alias("inside"))
+    slices = slices.withColumn("upto", upto("slice", *keys, "name")).filter(holds("inside"))
+    last = slices.select(*keys, "name", "slice", (F.col("inside") - F.col("upto") + F.col("n")).alias("last"))
+    counts = inside.join(last, [*keys, "name", "slice"]).groupBy(*keys, "name", "v", "last").agg(F.count("*").alias("n"))
+    return counts.withColumn("upto", upto("v", *keys, "name")).filter(holds("last")).select(*keys, "name", "v")
+
+
+def index_percentile(df: DataFrame, value: str, percent: int, *keys: str) -> DataFrame:
+    """The value at 0-based index least(floor(n * percent / 100), n - 1) of each group."""
+    found = at_indexes(df, value, {"p": lambda n: F.least(F.floor(n * percent / 100), n - 1)}, *keys)
+    return found.select(*keys, F.col("v").alias(f"p{percent}_{value}"))

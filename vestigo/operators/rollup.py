@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocabulary as V
-from ..functions.stats import index_percentile
+from ..functions.stats import at_indexes
 
 
 def _sum(c: str):
@@ -65,7 +65,7 @@ def counts(records: DataFrame) -> DataFrame:
 def times(records: DataFrame) -> DataFrame:
     """Times over the records that took any (one row); zero where there are none.
 
-    The median is exact: the mean of the two middle values, found by ``index_percentile``'s bands.
+    The median is exact: the mean of the two middle values, found with the 95th percentile in the same passes.
     """
     took = F.when(F.col("tempo_ms") != 0, F.col("tempo_ms"))
     base = records.agg(
@@ -75,18 +75,16 @@ def times(records: DataFrame) -> DataFrame:
         F.coalesce(F.sum("tempo_inferencia_ms"), F.lit(0.0)).alias("inferencia_ms"),
         F.coalesce(F.sum(F.col("paginas").cast("bigint")), F.lit(0)).alias("paginas"),
     )
-    timed = records.filter("tempo_ms <> 0")
-    upper = index_percentile(timed, "tempo_ms", 50)
-    # The lower middle is the upper one mirrored.
-    lower = index_percentile(timed.select((-F.col("tempo_ms")).alias("tempo_ms")), "tempo_ms", 50)
-    p95 = index_percentile(timed, "tempo_ms", 95)
-    one = base.join(F.broadcast(upper), how="left").join(F.broadcast(lower.toDF("mirrored")), how="left").join(F.broadcast(p95), how="left")  # one row each
+    places = {"low": lambda n: F.floor((n - 1) / 2), "high": lambda n: F.floor(n / 2), "p95": lambda n: F.least(F.floor(n * 95 / 100), n - 1)}
+    found = at_indexes(records.filter("tempo_ms <> 0"), "tempo_ms", places)
+    found = found.agg(*[F.max(F.when(F.col("name") == k, F.col("v"))).alias(k) for k in places])
+    one = base.join(F.broadcast(found), how="left")  # one row each
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     return one.select(
         (F.col("total_ms") / 1000).alias("total_segundos"),
         "medio_ms",
-        F.coalesce((F.col("p50_tempo_ms") - F.col("mirrored")) / 2, F.lit(0.0)).alias("mediana_ms"),
-        F.coalesce("p95_tempo_ms", F.lit(0.0)).alias("p95_ms"),
+        F.coalesce((F.col("low") + F.col("high")) / 2, F.lit(0.0)).alias("mediana_ms"),
+        F.coalesce("p95", F.lit(0.0)).alias("p95_ms"),
         "maximo_ms",
         ratio(F.col("total_ms"), F.col("paginas")).alias("ms_por_pagina"),
         (F.col("inferencia_ms") / 1000).alias("inferencia_segundos"),

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from .. import vocabulary as V
 from ..functions.classify import form_group, stratum
+from ..storage import materialise
 
 
 def draw_key(seed: int, group: Column, path: Column) -> Column:
@@ -67,6 +68,7 @@ def draw(records: DataFrame, hashes: DataFrame, negatives: int, positives: int,
     """The sample: id, sha256, arquivo, estrato, status, paginas. Documents without a hash can't be drawn."""
     pool = evaluable(records).join(hashes.filter("sha256 <> ''").select("arquivo", "sha256"), "arquivo")
     pool = pool.withColumn("draw", draw_key(seed, F.col("estrato"), F.col("arquivo"))).select("estrato", "arquivo", "sha256", "status", "paginas", "draw")
+    pool = materialise(pool, "pool")  # read three times: sizes, near and rest
     quota = allocate(pool.groupBy("estrato").agg(F.count("*").alias("tamanho")), negatives, positives, floor)
     rows = _prefix(pool, "estrato", quota, "tamanho")
     return rows.select(F.substring("sha256", 1, V.ID_LENGTH).alias("id"), "sha256", "arquivo", "estrato", "status", F.coalesce("paginas", F.lit(0)).alias("paginas"))
