@@ -380,8 +380,56 @@ def _repeats(rows, length=100):
     return _sorted(out)
 
 
-@pytest.mark.parametrize("segment", [1 << 22, 1 << 11])
-def test_substring_dedup(spark, docs, none, segment):
+def test_segments_hold_every_window_once(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SEGMENT", 1 << 11)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (9000, 99, 100, 2147, 2148, 0)]
+    seen = defaultdict(list)
+    for k, t in enumerate(texts):
+        batch = pa.RecordBatch.from_arrays([pa.array([k]), pa.array([k]), pa.array([0]), pa.array([t])], ["doc_id", "tag1", "tag2", "text"])
+        for out in substring_dedup._parse([batch]):
+            for doc, place in zip(out.column(2).to_pylist(), out.column(5).to_pylist(), strict=True):
+                seen[doc] += range(place >> 16, (place >> 16) + (place & 255) + 1)
+    assert all(sorted(seen[k]) == list(range(len(t) - 99)) for k, t in enumerate(texts))
+
+
+@pytest.mark.parametrize("array", [1, 700, 1 << 19])
+def test_suffix_arrays_of_whole_grams(monkeypatch, array):
+    monkeypatch.setattr(substring_dedup, "ARRAY_BYTES", array)
+    rng, rows = random.Random(9), []
+    for gram in range(12):
+        base = "".join(rng.choice("ab" + chr(99 + gram)) for _ in range(180))
+        for _ in range(rng.randint(1, 7)):
+            a = rng.randint(0, 40)
+            rows.append((gram, rng.randrange(5), 1, 2, rng.randrange(400), chr(99 + gram).encode() + base[a : a + rng.randint(100, 140)].encode()))
+    first = {}
+    places = [(r, r[1], r[4] + k, r[5][k : k + 100]) for r in rows for k in range(len(r[5]) - 99)]
+    for _, doc, at, w in places:
+        first[w] = min(first.get(w, (doc, at)), (doc, at))
+    want = sorted((doc, at) for _, doc, at, w in places if first[w] < (doc, at))
+    names = ["gram", "doc_id", "tag1", "tag2", "start", "phrase"]
+    for cut in (1, 3, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + cut], strict=True)], names) for k in range(0, len(rows), cut)]
+        got = [(d, (p >> 16) + k) for out in substring_dedup._suffix_arrays(batches) for d, p in zip(out.column(0).to_pylist(), out.column(3).to_pylist(), strict=True) for k in range((p & 255) + 1)]
+        assert sorted(got) == want and len(want) > 100
+    assert list(substring_dedup._suffix_arrays([])) == []
+
+
+def test_suffix_ranks_are_the_byte_order():
+    rng = np.random.default_rng(2)
+    for alphabet in (2, 3, 256):
+        data = rng.integers(0, alphabet, 1500).astype(np.uint8)
+        data[700:1000] = data[100:400]
+        starts = np.sort(rng.choice(1400, 900, replace=False))
+        strings = [data[p : p + 100].tobytes() for p in starts.tolist()]
+        place = {x: k for k, x in enumerate(sorted(set(strings)))}
+        assert substring_dedup.suffix_ranks(data, starts).tolist() == [place[x] for x in strings]
+
+
+@pytest.mark.parametrize(("segment", "group", "array"), [(1 << 22, 4096, 1 << 19), (1 << 22, 2, 1 << 19), (1 << 22, 0, 1), (1 << 11, 4096, 300)])
+def test_substring_dedup(spark, docs, none, segment, group, array, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
+    monkeypatch.setattr(substring_dedup, "ARRAY_BYTES", array)
     rng = random.Random(8)
     passage = "".join(rng.choice("abcd ") for _ in range(260))
     extra = [(900 + k, "".join(rng.choice("wxyz ") for _ in range(rng.randint(0, 90))) + passage[rng.randint(0, 80) : rng.randint(150, 260)] + f"{k}" * rng.randint(0, 120)) for k in range(14)]

@@ -14,20 +14,28 @@ another one with the same trigger place.
 *Dictionary and parse combined.* Phrases are sorted by trigger gram, phrase and
 corpus position. A phrase that occurred before repeats all its windows. Only
 grams with several different phrases can hide a repeated window inside phrases
-that differ. There the first occurrence of each phrase is cut into pieces of up
-to PIECE windows by their distance from the trigger. All windows of a piece share
-a core; a core that occurs once rules out every repeat, equal pieces under one
-core repeat whole, and only pieces that differ under one core come down to the
-dictionary's suffixes of LENGTH bytes, the windows themselves, sorted by hash and
-position. The order of longer suffixes isn't needed and isn't built, which keeps
-the work per corpus byte constant. A repetitive text leaves few phrases.
+that differ. Their dictionary, the first occurrence of each phrase, is dealt by
+gram, so equal windows meet, and blocks of whole grams get a suffix array: the
+order of all suffixes to LENGTH bytes, by doubling from 8 bytes on. Suffixes that
+are equal so far stand side by side; the parse's places, document and start, tell
+which of them comes first in the corpus, and the others' bytes go. Deeper order
+isn't needed, and as phrases overlap by LENGTH - 1 bytes no window runs on into
+the next phrase, so the parse needs no suffix array of its own.
+
+A gram with over GROUP different phrases is too much for one task. Its phrases are
+cut into pieces of up to PIECE windows by their distance from the trigger. All
+windows of a piece share a core; a core that occurs once rules out every repeat,
+equal pieces under one core repeat whole, and only pieces that differ under one
+core come down to the windows themselves, sorted by hash and place over the
+cluster. A repetitive text leaves few phrases.
 
 Texts go through in blocks. Repeats inside a block are settled there, and a task
 keeps the first places of MET strings in mind, so a phrase that a third of all
 documents hold leaves a row only where its place precedes all that the task met
 before: some five rows per task in a random order, not one per document.
 
-Phrases are compared by 128 bits of hash (gram and phrase), windows likewise.
+Phrases are compared by 128 bits of hash (gram and phrase), suffixes by their
+bytes, windows of large grams by 128 bits of hash.
 
 Defined results: a null text is empty; matches never cross rows; a null doc_id
 counts as the smallest; rows that share a doc_id are told apart by their text,
@@ -53,6 +61,8 @@ LENGTH = 100
 GRAM = 40
 #: Windows of a piece.
 PIECE = 8
+#: Different phrases of a gram that get a suffix array in one task, and bytes of phrases that share one.
+GROUP, ARRAY_BYTES = 4096, 1 << 19
 #: Bytes of a text that are parsed at once; longer texts continue with an overlap.
 SEGMENT = 4 << 20
 #: Strings whose first place a task keeps in mind.
@@ -261,6 +271,88 @@ def _stretches(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, _
             yield order[a:b], _Hashes(data[s : s + size + 2 * LENGTH + PIECE]), s
 
 
+def _phrases(batches):
+    """(gram, doc_id, tag1, tag2, start, phrase) of the wanted phrases."""
+    copies = _Copies()
+    for batch in batches:
+        for part in blocks(copies.drop(batch)):
+            data, bounds = raw_texts(part.column(3))
+            own, start, _, n, key = _wanted(part)
+            raw, low = memoryview(data), bounds[own] + start
+            text = [bytes(raw[a:b]) for a, b in zip(low.tolist(), (low + n + LENGTH - 1).tolist(), strict=True)]
+            at = pa.array(own)
+            yield pa.RecordBatch.from_arrays([_signed(key), *(part.column(k).take(at) for k in range(3)), pa.array(start, pa.int64()), pa.array(text, pa.binary())], ["gram", *_KEY, "start", "phrase"])
+
+
+def _dense(key: np.ndarray) -> np.ndarray:
+    """The rank of each value among the distinct ones."""
+    order = np.argsort(key, kind="stable")
+    new = np.zeros(len(key), np.int64)
+    ordered = key[order]
+    new[1:] = ordered[1:] != ordered[:-1]
+    out = np.empty(len(key), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def suffix_ranks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Ranks of the LENGTH bytes from each start on, in byte order: equal strings have equal ranks."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    rank = _dense(np.ndarray(len(data), ">u8", padded, strides=(1,)).astype(np.uint64))
+    size, most = 8, len(data) + 1
+    while 2 * size <= LENGTH:
+        later = np.concatenate([rank[size:], np.zeros(min(size, len(rank)), np.int64)])[: len(rank)]
+        rank, size = _dense(rank * most + later), 2 * size
+    return _dense(rank[starts] * most + rank[starts + LENGTH - size])
+
+
+def _later_windows(table: pa.Table) -> pa.RecordBatch | None:
+    """Places of the phrases' windows that stand earlier in the corpus, run by run."""
+    data, bounds = raw_texts(table.column("phrase").combine_chunks())
+    doc, start = (table.column(k).to_numpy() for k in ("doc_id", "start"))
+    n = np.diff(bounds) - LENGTH + 1
+    row = np.repeat(np.arange(len(n)), n)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    rank = suffix_ranks(data, bounds[:-1][row] + inside)
+    twice = np.flatnonzero(np.bincount(rank)[rank] > 1)
+    if not len(twice):
+        return None
+    _, later = _first_of(rank[twice], doc[row[twice]], start[row[twice]] + inside[twice])
+    gone = np.sort(twice[later])
+    head = np.ones(len(gone), bool)
+    head[1:] = (gone[1:] != gone[:-1] + 1) | (row[gone[1:]] != row[gone[:-1]])
+    at = np.flatnonzero(head)
+    more = np.diff(np.append(at, len(gone))) - 1
+    first = gone[at]
+    place = _pack(start[row[first]] + inside[first], np.zeros(len(at), np.int64), more)
+    keys = table.select(_KEY).take(pa.array(row[first])).combine_chunks()
+    return pa.RecordBatch.from_arrays([*(keys.column(k).combine_chunks() for k in _KEY), pa.array(place, pa.int64())], [*_KEY, "place"])
+
+
+def _suffix_arrays(batches):
+    """Later windows of phrases that come gram by gram; a suffix array holds whole grams."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        gram = batch.column(0).to_numpy()
+        cuts = np.flatnonzero(np.diff(gram)) + 1
+        if held and len(gram) and held[-1].column(0)[-1].as_py() != gram[0]:
+            cuts = np.concatenate([[0], cuts])
+        at = 0
+        _, bounds = raw_texts(batch.column(5))
+        for c in cuts.tolist():
+            if size + bounds[c] - bounds[at] >= ARRAY_BYTES:
+                held.append(batch.slice(at, c - at))
+                if found := _later_windows(pa.Table.from_batches(held)):
+                    yield found
+                held, size, at = [], 0, c
+        if at < batch.num_rows:
+            held.append(batch.slice(at))
+            size += int(bounds[-1] - bounds[at])
+    if held and (found := _later_windows(pa.Table.from_batches(held))):
+        yield found
+
+
 def _split(batches):
     """Pieces of the wanted phrases under the hash of their core."""
     copies = _Copies()
@@ -309,26 +401,33 @@ def _windows(batches):
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """Adds ``later`` (the string occurs before) and ``mixed`` (its gram has other strings)."""
+    """Adds ``later`` (the string occurs before), ``mixed`` (its gram has other strings) and ``big`` (the gram has very many)."""
     same = Window.partitionBy("gram", "string").orderBy("doc_id", "place")
     gram = Window.partitionBy("gram")
     opening = F.first(F.struct("doc_id", "place")).over(same.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     own = F.col("string").isNotNull()
     rows = rows.withColumn("later", own & (F.struct("doc_id", "place") != opening))
-    return rows.withColumn("mixed", own & (F.min("string").over(gram) != F.max("string").over(gram)))
+    rows = rows.withColumn("mixed", own & (F.min("string").over(gram) != F.max("string").over(gram)))
+    return rows.withColumn("big", F.count_if(own & ~F.col("later")).over(gram) > GROUP)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, tag1, tag2, span, spans): what goes, as one span or as packed pairs."""
     columns = [*_KEY, "gram", "place", "later", "spans"]
-    found = materialise(_ranked(docs.mapInArrow(_parse, _DDL)).filter("later or mixed or string is null").select(*columns), "phrases")
-    settled = found
+    asked = lambda rows: rows.filter("place is not null and not later").groupBy(*_KEY).agg(F.collect_set(F.struct("place", "gram")).alias("wanted"))
+    looked = lambda rows: docs.join(asked(rows).hint("shuffle_hash"), _KEY).select(*_KEY, "text", "wanted")
+    parsed = materialise(_ranked(docs.mapInArrow(_parse, _DDL)).filter("later or mixed or string is null").select(*columns, "big"), "phrases")
+    dictionary = looked(parsed.filter("not big")).mapInArrow(_phrases, "gram long, doc_id long, tag1 long, tag2 long, start long, phrase binary")
+    arrays = dictionary.repartition("gram").sortWithinPartitions("gram").mapInArrow(_suffix_arrays, "doc_id long, tag1 long, tag2 long, place long")
+    found = materialise(arrays.select(*_KEY, F.lit(None).cast("long").alias("gram"), "place", F.lit(True).alias("later"), F.lit(None).cast("binary").alias("spans")), "suffixes")
+    settled = parsed.select(*columns).unionByName(found)
+    left = parsed.filter("big")
     for name, look in (("pieces", _split), ("windows", _windows)):
-        wanted = found.filter("place is not null and not later").groupBy(*_KEY).agg(F.collect_set(F.struct("place", "gram")).alias("wanted"))
-        texts = docs.join(wanted.hint("shuffle_hash"), _KEY).select(*_KEY, "text", "wanted")
+        if left.filter("place is not null and not later").isEmpty():
+            break
         kept = "later or string is null" if look is _windows else "later or mixed or string is null"
-        found = materialise(_ranked(texts.mapInArrow(look, _DDL)).filter(kept).select(*columns), name)
-        settled = settled.unionByName(found)
+        left = materialise(_ranked(looked(left).mapInArrow(look, _DDL)).filter(kept).select(*columns), name)
+        settled = settled.unionByName(left)
     settled = settled.filter("later or place is null")
     span = F.expr(f"named_struct('start', shiftright(place, 16), 'end', shiftright(place, 16) + (place & 255) + {LENGTH})")
     return settled.select(*_KEY, F.when(F.col("place").isNotNull(), span).alias("span"), "spans")
