@@ -19,6 +19,7 @@ from ..operators import documents as D
 from ..sources import files as S
 from ..sources import records as R
 from ..storage import materialise, shared_path
+from ..streaming import ingest
 from . import lot
 from . import queries as Q
 
@@ -301,3 +302,45 @@ def sample_to_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     index = Q._audit(spark, sf_dir)[1]
     return left(index, index.filter("substr(id, 1, 1) < '8'").select("id")).select("id", "arquivo")
+
+
+# --- streams ---
+
+
+@Q.query("SELECT event_type AS status, count(*) AS n, sum(event_id % 7)::BIGINT AS tentativas FROM events GROUP BY event_type")
+def records_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoint lines written as files, streamed into a table until none is left, and counted there."""
+    i = F.col("event_id")
+    rows = lot.table(spark, sf_dir, "events").select(F.concat(F.lit("e"), i.cast("string")).alias("arquivo"), F.col("event_type").alias("status"), (i % 7).cast("int").alias("tentativas"))
+    base = shared_path(spark, "stream")
+    rows.write.json(f"{base}/lines")
+    ingest.append_table(ingest.stream_records(spark, f"{base}/lines"), f"{base}/table", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/table").groupBy("status").agg(F.count("*").alias("n"), F.sum("tentativas").alias("tentativas"))
+
+
+@Q.query("""WITH l AS (SELECT 'u' || user_id AS sha256, CASE WHEN event_id % 5 <> 0 THEN event_id % 2 = 0 END AS tem_assinatura, event_id AS seq FROM events)
+SELECT sha256, arg_max(CASE WHEN tem_assinatura IS NULL THEN 'duvida' WHEN tem_assinatura THEN 'sim' ELSE 'nao' END, seq) AS rotulo, max(seq) AS seq FROM l GROUP BY sha256""")
+def labels_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label events in two arrivals, upserted batch by batch: the last one of a content counts, doubt included."""
+    i = F.col("event_id")
+    rows = lot.table(spark, sf_dir, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("sha256"), F.when(i % 5 != 0, i % 2 == 0).alias("tem_assinatura"), i.alias("seq"))
+    base = shared_path(spark, "stream")
+    for k in range(2):
+        rows.filter(F.col("seq") % 2 == k).write.mode("append").parquet(f"{base}/events")
+        stream = spark.readStream.schema("sha256 string, tem_assinatura boolean, seq long").parquet(f"{base}/events")
+        ingest.upsert_labels(stream, f"{base}/table", f"{base}/state").awaitTermination()
+    now = ingest.current_labels(spark, f"{base}/table")
+    word = F.when(F.col("tem_assinatura").isNull(), "duvida").when(F.col("tem_assinatura"), "sim").otherwise("nao")
+    return now.select("sha256", word.alias("rotulo"), "seq")
+
+
+@Q.query("SELECT 'd' || doc_id AS arquivo, sha256(coalesce(text, '')) AS sha256 FROM documents")
+def hashes_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents that arrive twice are hashed once."""
+    rows = lot.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("arquivo"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("conteudo"), F.timestamp_seconds(F.col("doc_id") % 1000 + 1_700_000_000).alias("lido_em"))
+    base = shared_path(spark, "stream")
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{base}/files")
+    stream = spark.readStream.schema("arquivo string, conteudo binary, lido_em timestamp").parquet(f"{base}/files")
+    ingest.append_table(ingest.new_hashes(stream), f"{base}/table", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/table").select("arquivo", "sha256")

@@ -28,21 +28,26 @@ def new_hashes(files: DataFrame, horizon: str = "7 days") -> DataFrame:
 
 
 def upsert_labels(labels: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the last label of each content by ``seq``: every batch becomes a new version of the table.
+    """Appends each batch's last label of every content by ``seq``; ``current_labels`` reads the table.
 
-    A version is written aside under its batch number; the latest complete one counts, so a batch
-    that runs again replaces its own version only.
+    A batch is a partition of its own number, so one that runs again replaces its own rows only, and
+    what earlier batches wrote is never rewritten.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select("sha256", "tem_assinatura", "seq")
-        if number:
-            rows = rows.unionByName(spark.read.parquet(f"{target}/v{number - 1}"))
-        last = rows.groupBy("sha256").agg(F.max_by(F.struct("tem_assinatura"), "seq").alias("last"), F.max("seq").alias("seq"))
-        last.select("sha256", "last.tem_assinatura", "seq").write.mode("overwrite").parquet(f"{target}/v{number}")
+    def write(batch: DataFrame, number: int) -> None:
+        _last(batch.select("sha256", "tem_assinatura", "seq")).write.mode("overwrite").parquet(f"{target}/lote={number}")
 
-    return labels.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return labels.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _last(rows: DataFrame) -> DataFrame:
+    last = rows.groupBy("sha256").agg(F.max_by(F.struct("tem_assinatura"), "seq").alias("last"), F.max("seq").alias("seq"))
+    return last.select("sha256", "last.tem_assinatura", "seq")
+
+
+def current_labels(spark: SparkSession, target: str) -> DataFrame:
+    """The last label of each content over all batches: sha256, tem_assinatura, seq."""
+    return _last(spark.read.parquet(target))
 
 
 def status_counts(records: DataFrame, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
