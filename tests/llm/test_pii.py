@@ -58,10 +58,13 @@ class Plain:
         d = re.sub(r"\D", "", m)
         head, ten = d[:-10], d[-10:]
         if head in ("", "1"):
-            if ten[0] < "2" or ten[3] < "2":
-                return None
-            a, b = self.feistel(int(ten[:3]) - 200, int(ten[3:]) - 2_000_000, 800, 8_000_000, "nanp")
-            return self.refill(m, f"{head}{a + 200}{b + 2_000_000}")
+            a, b, m_, n, low, less = int(ten[:3]), int(ten[3:]), 800, 8_000_000, 200, 2_000_000
+            if a < 200:
+                m_, n, low, less = 200, 10_000_000, 0, 0
+            elif b < 2_000_000:
+                n, less = 2_000_000, 0
+            a, b = self.feistel(a - low, b - less, m_, n, f"nanp.{m_}.{n}")
+            return self.refill(m, f"{head}{a + low:03}{b + less:07}")
         return self.refill(m, head + self.digits(ten, "phone"))
 
     def ipv4(self, m):
@@ -162,7 +165,7 @@ class Plain:
 
 MADE = [
     "order 12 4111 1111 1111 1111 paid", "12/31/1999 and 31/12/1999 and 02.29.2000 and 02/29/1900 and 13/13/2000", "(743) 555-3824, 743-555-3824, 743.555.3824 or +1 743 555 3824", "(143) 555-3824 743-155-3824 1-743-555-3824",
-    "4111 1111 1111 1111 743-555-3824 12", "a.b+c_9@x.example.org A.B+C_9@x.example.org", "1.2.3.4 01.2.3.4 256.1.1.1", "001-01-0001 899-99-9999 666-01-0001", "2199-12-31 2200-01-01 1799-12-31 01.02.1800", "+55 (743) 155-3824 +0 743 555 3824", "x" * 3000 + " 10.0.0.1", "", None,
+    "4111 1111 1111 1111 743-555-3824 12", "a.b+c_9@x.example.org A.B+C_9@x.example.org", "1.2.3.4 01.2.3.4 256.1.1.1", "001-01-0001 899-99-9999 666-01-0001", "2199-12-31 2200-01-01 1799-12-31 01.02.1800", "+55 (743) 155-3824 +0 743 555 3824 +1 (017) 555-7713 +1 743-155-3824", "x" * 3000 + " 10.0.0.1", "", None,
 ]
 
 
@@ -184,6 +187,15 @@ def test_the_number_with_and_without_its_country_is_one(spark):
     assert len({re.sub(r"\D", "", r.text)[-10:] for r in pii.pseudonymise(df, "key").collect()}) == 1
 
 
+def test_numbers_of_country_one_are_permuted(spark):
+    """Each of the three domains onto itself, on a slice of each, and no number stays as it was left."""
+    rows = spark.range(3000).selectExpr("concat('+1 ', element_at(array('0', '1', '2', '9'), cast(id % 4 + 1 as int)), lpad(cast(id % 50 as string), 2, '0'), '-', element_at(array('0', '3'), cast(id % 2 + 1 as int)), '55-', lpad(cast(id as string), 4, '0')) as text")
+    made = pii.pseudonymise(rows.withColumn("was", rows.text), "key").collect()
+    kind = lambda t: (t[3] < "2", t[7] < "2")
+    assert len({r.text for r in made}) == len({r.was for r in made}) == 3000
+    assert all(kind(r.text)[0] == kind(r.was)[0] and (kind(r.was)[0] or kind(r.text) == kind(r.was)) and r.text != r.was for r in made)
+
+
 def test_the_key_is_not_in_the_plan(spark):
     df = pii.pseudonymise(spark.createDataFrame([("4111111111111111",)], "text string"), "openly readable")
     plan = df._jdf.queryExecution().toString()

@@ -12,10 +12,10 @@ card     13 to 19 digits that pass Luhn: all but the last are permuted, the
          check digit is computed anew. In a run of numbers parted by single
          spaces or hyphens every span of whole numbers is tried: usual card
          groupings first, then from the left, the longest first
-phone    +country, then ten digits grouped 3-3-4: the ten digits are permuted; of
-         country 1 and without a country, (ddd) ddd-dddd, ddd-ddd-dddd and
-         ddd.ddd.dddd are permuted among the numbers whose area and exchange
-         begin with 2 to 9, and others stay
+phone    +country, then ten digits grouped 3-3-4: the ten digits are permuted;
+         without a country, (ddd) ddd-dddd, ddd-ddd-dddd and ddd.ddd.dddd where
+         area and exchange begin with 2 to 9. Those and numbers of country 1 are
+         permuted alike: valid ones among the valid, others among the others
 ipv4     the 32-bit address is permuted
 ssn      3-2-4 digits in the issued ranges: permuted among those
 date     yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy between 1800 and 2199: the day is
@@ -154,11 +154,12 @@ def _cards(m: str, key: str, back: bool) -> str:
 
 def _phone(m: str, key: str, back: bool) -> str:
     other = _with("n", f"concat(left(d, length(d) - 10), {permute_digits('right(d, 10)', chr(39) + 'phone' + chr(39), key, back)})", _refill(m, "n"))
-    # 800 areas times 800 exchanges of 10,000 lines: exactly the valid ones
-    area, rest = "cast(substr(t, 1, 3) as int) - 200", "cast(substr(t, 4) as int) - 2000000"
-    run = _feistel(area, rest, "800", "8000000", "'nanp'", key, back)
-    new = "concat(left(d, length(d) - 10), cast(f.a + 200 as string), cast(f.b + 2000000 as string))"
-    own = _with("t", "right(d, 10)", f"if(t rlike '^[2-9][0-9][0-9][2-9]', {_with('f', run, _with('n', new, _refill(m, 'n')))}, null)")
+    # Areas and exchanges from 200 on are those of valid numbers, which stay valid; the rest is permuted apart.
+    area, rest = "cast(substr(t, 1, 3) as int)", "cast(substr(t, 4) as int)"
+    kind = f"named_struct('a', if({area} < 200, 0, 200), 'm', if({area} < 200, 200, 800), 'b', if({area} < 200 or {rest} < 2000000, 0, 2000000), 'n', case when {area} < 200 then 10000000 when {rest} < 2000000 then 2000000 else 8000000 end)"
+    run = _feistel(f"{area} - c.a", f"{rest} - c.b", "c.m", "c.n", "concat_ws('.', 'nanp', c.m, c.n)", key, back)
+    new = "concat(left(d, length(d) - 10), lpad(cast(f.a + c.a as string), 3, '0'), lpad(cast(f.b + c.b as string), 7, '0'))"
+    own = _with("t", "right(d, 10)", _with("c", kind, _with("f", run, _with("n", new, _refill(m, "n")))))
     return _with("d", _digits(m), f"if(length(d) = 10 or (length(d) = 11 and left(d, 1) = '1'), {own}, {other})")
 
 
