@@ -20,7 +20,7 @@ P = pytest.importorskip("public_tokenizers")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Columns that bear the names of outputs and of working columns.
-CLASH = {"kept": "x", "size": 1, "shard": "s", "n_lines": 2, "n_words": "w", "component_id": 3, "spans": "q", "ids": "i", "pii": "p", "drops": 4, "rep": 5, "bands": 6, "tag": "t", "row_tag": 7, "bucket": 8, "position": 9, "n_tokens": "z"}
+CLASH = {"kept": "x", "size": 1, "shard": "s", "n_lines": 2, "n_words": "w", "component_id": 3, "spans": "q", "ids": "i", "pii": "p", "drops": 4, "rep": 5, "bands": 6, "tag": "t", "row_tag": 7, "bucket": 8, "position": 9, "n_tokens": "z", "line_id": 1, "line_drops": 2}
 
 
 def _texts(seed=5):
@@ -742,7 +742,8 @@ def test_pseudonyms(spark, none):
         (3, "Hein.19@mail5.example.com hein.19@mail5.example.com 10.0.0.1 2024-02-29 29/02/2024 29.02.2024 123-45-6789"), (4, None), (5, ""), (6, "plain"), (None, "card 4111111111111111"), (1, "card 4111111111111111"),
         (7, "b" * 50_000 + " 10.0.0.1 " + "1" * 50_000),
     ]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("pii", F.lit(1))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"pii": F.lit(1), "pii_found": F.lit(2), "pii_key": F.lit("mine")})
+    assert {(r.pii_found, r.pii_key) for r in pii.pseudonymise(df, "k").collect()} == {(2, "mine")}
     out = pii.pseudonymise(df, "k").cache()
     by = defaultdict(list)
     for r in out.collect():

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import id_in, id_out, shuffle_width
+from .shared import free_names, id_in, id_out, shuffle_width
 
 _SPACE = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -126,12 +126,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
 
 def without_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs``, all columns, with repeated lines gone from ``text`` and ``n_chars``, if there, brought up to date."""
-    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).toDF("__id", "__tag1", "__tag2", "__drops")
+    keys = free_names(docs, "line_id", "line_tag1", "line_tag2")
+    (drops,) = free_names(docs, "line_drops")
+    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).toDF(*keys, drops)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    one, two = _tags(text)
-    marked = docs.withColumns({"__id": id_in(), "__tag1": one, "__tag2": two})
-    rows = marked.join(maps.hint("shuffle_hash"), ["__id", "__tag1", "__tag2"], "left")
-    new = {"text": F.when(F.col("__drops").isNull(), F.col("text")).otherwise(F.array_join(F.expr(_KEEP.format("__drops")), "\n"))}
+    marked = docs.withColumns(dict(zip(keys, (id_in(), *_tags(text)), strict=True)))
+    rows = marked.join(maps.hint("shuffle_hash"), keys, "left")
+    new = {"text": F.when(F.col(drops).isNull(), F.col("text")).otherwise(F.array_join(F.expr(_KEEP.format(drops)), "\n"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("__drops").isNull(), F.col("n_chars")).otherwise(F.char_length(new["text"]).cast("long"))
+        new["n_chars"] = F.when(F.col(drops).isNull(), F.col("n_chars")).otherwise(F.char_length(new["text"]).cast("long"))
     return rows.withColumns(new).select(*docs.columns)

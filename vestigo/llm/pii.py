@@ -42,6 +42,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import free_names
+
 ROUNDS = 10
 #: Java regular expressions of candidates, in order of precedence. A match must not touch further word characters.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -55,8 +57,6 @@ DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[
 _NEXT = rf"[ -](?!{EMAIL}|{NATIONAL}|{IPV4}|{SSN}|{DATE})"
 CARD = rf"(?<![A-Za-z0-9])(?=[0-9](?:(?:{_NEXT})?[0-9]){{12}}[0-9]*+(?![A-Za-z]))[0-9]++(?:{_NEXT}[0-9]++(?![A-Za-z]))*+"
 CANDIDATE = "|".join((EMAIL, PHONE, NATIONAL, IPV4, SSN, DATE, CARD))
-#: Column that carries the hashed key.
-_KEY = "__key"
 #: Days past the 12th in the months before each month of a common year.
 _PAST = "array(0, 19, 35, 54, 72, 91, 109, 128, 147, 165, 184, 202)"
 _LEAP = "filter(sequence(1800, 2199), y -> y % 4 = 0 and (y % 100 <> 0 or y % 400 = 0))"
@@ -225,13 +225,17 @@ def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     worth = text.rlike("[0-9@]") & text.rlike(CANDIDATE)
     found = F.when(worth, F.regexp_extract_all(text, pattern, F.lit(0)))
     rest = F.when(worth, F.split(text, CANDIDATE, -1))
-    hashed = docs.sparkSession.createDataFrame([(hash_key(key),)], f"{_KEY} string")
-    rows = docs.drop("pii").withColumns({"__found": found, "__rest": rest, _KEY: hashed.scalar()})
-    rows = rows.withColumn("__new", F.expr(f"transform(__found, m -> {_pseudonym('m', _KEY, back)})"))
-    glued = F.expr("array_join(zip_with(__rest, transform(__new, n -> array_join(transform(n, p -> coalesce(p.value, p.piece)), '')), (r, v) -> concat(r, coalesce(v, ''))), '')")
-    rows = rows.withColumn("text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(glued))
-    rows = rows.withColumn("pii", F.coalesce(F.expr("transform(filter(flatten(__new), n -> n.value is not null), n -> named_struct('kind', n.kind, 'value', n.value))"), F.expr("cast(array() as array<struct<kind: string, value: string>>)")))
-    return rows.drop("__found", "__rest", "__new", _KEY)
+    docs = docs.drop("pii")
+    names = free_names(docs, "pii_found", "pii_rest", "pii_key", "pii_new")
+    f, r, k, n = names
+    hashed = docs.sparkSession.createDataFrame([(hash_key(key),)], "key string")
+    rows = docs.withColumns({f: found, r: rest, k: hashed.scalar()})
+    rows = rows.withColumn(n, F.expr(f"transform({f}, m -> {_pseudonym('m', k, back)})"))
+    glued = F.expr(f"array_join(zip_with({r}, transform({n}, v -> array_join(transform(v, p -> coalesce(p.value, p.piece)), '')), (r, v) -> concat(r, coalesce(v, ''))), '')")
+    rows = rows.withColumn("text", F.when(F.col(f).isNull(), F.col("text")).otherwise(glued))
+    kinds = f"transform(filter(flatten({n}), v -> v.value is not null), v -> named_struct('kind', v.kind, 'value', v.value))"
+    rows = rows.withColumn("pii", F.coalesce(F.expr(kinds), F.expr("cast(array() as array<struct<kind: string, value: string>>)")))
+    return rows.drop(*names)
 
 
 def hash_key(key: str) -> str:

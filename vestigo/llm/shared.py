@@ -67,3 +67,13 @@ def id_out(col: str = "doc_id") -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """These names for working columns, with underscores in front where ``docs`` has them."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for n in names:
+        while n in taken:
+            n = "_" + n
+        out.append(n)
+    return out
