@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vestigo.llm import bpe, decontaminate, line_dedup, near_dedup, quality
-from vestigo.llm.shared import materialise
+from vestigo.llm.shared import free_names, materialise
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -26,7 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null or empty text has too few words and goes.
     """
     rules = quality.plan_order(docs, quality.BASE_RULES + quality.RULES)
-    return quality.cascade(docs, rules, kept="__kept").filter("__kept").drop("__kept")
+    (verdict,) = free_names(docs, "kept")
+    return quality.cascade(docs, rules, kept=verdict).filter(verdict).drop(verdict)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
