@@ -17,6 +17,7 @@ from ..functions import text as X
 from ..operators import detect, jobs, rollup
 from ..operators import documents as D
 from ..sources import files as S
+from ..sources import pdf
 from ..sources import records as R
 from ..storage import materialise, shared_path
 from ..streaming import ingest
@@ -185,6 +186,98 @@ def zip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made(boxes, r).select("arquivo", "status", "erro_tipo", "observacao")
 
 
+# --- PDFs ---
+
+
+def _printed(spark: SparkSession, sf_dir: str, text: DataFrame) -> DataFrame:
+    """(arquivo, formato, tipo, tamanho_bytes, conteudo): every text (doc_id, t) as a PDF of two pages, some as other files."""
+
+    def make(batches):
+        for batch in batches:
+            for name, extension, t in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                lines = t.split("\n")
+                half = (len(lines) + 1) // 2
+                data = pdf.write(["\n".join(lines[:half]), "\n".join(lines[half:])] if len(lines) > 1 else [t]) if extension == ".pdf" else b""
+                yield pa.RecordBatch.from_pydict({"arquivo": [name], "conteudo": pa.array([data], pa.binary())})
+
+    i = F.col("doc_id")
+    kind = F.when(i % 10 < 8, ".pdf").when(i % 10 == 8, ".xls").otherwise(".PDF")
+    made = text.select(F.concat(F.lit("d"), i.cast("string"), kind).alias("arquivo"), kind.alias("kind"), F.col("t")).mapInArrow(make, "arquivo string, conteudo binary")
+    return materialise(S._typed(made.withColumn("tamanho_bytes", F.octet_length("conteudo").cast("long"))), "printed")
+
+
+@Q.query("SELECT 'd' || doc_id || '.pdf' AS arquivo, sha256(coalesce(text, '')) AS sha256, CAST(CASE WHEN contains(coalesce(text, ''), chr(10)) THEN 2 ELSE 1 END AS BIGINT) AS paginas FROM documents WHERE doc_id % 10 < 8")
+def pdf_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts printed to PDFs and read back page by page. (Every fifth document is another kind of file.)"""
+    from ..operators.batch import prepare
+
+    files = _printed(spark, sf_dir, lot.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")))
+    parts = materialise(prepare(files.filter("tamanho_bytes > 0")), "parts")
+    pages = parts.filter("numero > 0").groupBy("arquivo").agg(F.count("*").alias("paginas"))
+    return parts.filter("numero = 0").join(pages, "arquivo").select("arquivo", F.sha2("texto", 256).alias("sha256"), "paginas")
+
+
+@Q.query(Q._STAMPED_WHOLE + f""", n AS (SELECT doc_id, t, list_filter(list_transform(regexp_extract_all(t, {Q._SIGNER}, 1), lambda x: trim(trim(regexp_replace(x, '{_SPACE}', ' ', 'g')), ' .,:;-')), lambda x: x <> '') AS s FROM d),
+h AS (SELECT doc_id, CASE WHEN len(s) > 0 THEN len(list_distinct(list_transform(s, lambda x: lower(x)))) WHEN regexp_matches(t, {Q._MARK}) THEN 1 ELSE 0 END AS hits FROM n)
+SELECT 'd' || doc_id || CASE WHEN doc_id % 10 < 8 THEN '.pdf' WHEN doc_id % 10 = 8 THEN '.xls' ELSE '.PDF' END AS arquivo,
+    CASE WHEN doc_id % 10 = 8 THEN 'nao_suportado' WHEN doc_id % 10 = 9 THEN 'erro' WHEN hits > 0 THEN 'assinado' ELSE 'sem_assinatura' END AS status,
+    CASE WHEN doc_id % 10 = 8 THEN 'FormatoNaoSuportadoError' WHEN doc_id % 10 = 9 THEN 'DocumentoInvalidoError' END AS erro_tipo, doc_id % 10 < 8 AS retentavel,
+    CAST(CASE WHEN doc_id % 10 < 8 THEN hits ELSE 0 END AS INTEGER) AS nivel0_total FROM h""")
+def batch_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch run's records over stamped documents as PDFs, unsupported files and empty ones."""
+    from ..operators.batch import process
+
+    files = _printed(spark, sf_dir, Q._stamped_whole(spark, sf_dir))
+    return process(files, options=detect.Options(level1=False)).select("arquivo", "status", "erro_tipo", "retentavel", "nivel0_total")
+
+
+@Q.query("""SELECT 'p' || page_id AS arquivo, CASE WHEN page_id % 11 = 0 THEN 'erro' WHEN page_id % 7 = 0 THEN 'sem_campo' WHEN page_id % 3 = 0 THEN 'campo_vazio' WHEN page_id % 5 <> 0 AND page_id % 90 >= 64 THEN 'assinado' ELSE 'incompleto' END AS veredito,
+    CASE WHEN page_id % 11 <> 0 AND page_id % 7 <> 0 AND page_id % 3 <> 0 THEN CAST(page_id % 90 AS INTEGER) END AS bytes_pkcs7 FROM pages""")
+def form_inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signature fields printed to PDFs, read back and judged; some files are none."""
+    from ..operators import forms
+    from ..operators.batch import inspect_forms
+
+    def make(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                held = {"byte_range": [0, 10, 20, 5] if k % 5 else [0, 30, 20, 5], "contents": b"\x30" * (k % 90), "name": ""}
+                data = b"%PDF-1.7 broken" if k % 11 == 0 else pdf.write(["x"], [] if k % 7 == 0 else [(1, "visto", None if k % 3 == 0 else held)])
+                yield pa.RecordBatch.from_pydict({"arquivo": [f"p{k}"], "conteudo": pa.array([data], pa.binary())})
+
+    files = lot.table(spark, sf_dir, "pages").select("page_id").mapInArrow(make, "arquivo string, conteudo binary")
+    rows = forms.audited(files.select("arquivo"), inspect_forms(files))
+    size = F.try_element_at("campos", F.lit(1))
+    return rows.select("arquivo", "veredito", F.when(size["tem_valor"], size["bytes_pkcs7"]).alias("bytes_pkcs7"))
+
+
+@Q.query(Q._WITH + """ SELECT arquivo, CASE WHEN doc_id % 5 = 0 AND doc_id % 3 = 2 THEN 'erro' WHEN doc_id % 7 = 0 AND doc_id % 5 <> 0 THEN 'erro' ELSE 'assinado' END AS status,
+    CAST(CASE WHEN doc_id % 5 = 0 THEN 1 + doc_id % 3 ELSE 1 END AS INTEGER) AS tentativas FROM records""")
+def retry_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing documents run up to twice more: some recover in the second or third round, some fail for good."""
+    i, tried = F.col("doc_id"), {"n": 0}
+
+    def run(left: DataFrame) -> DataFrame:
+        tried["n"] += 1
+        again = (i % 5 == 0) & ((i % 3 >= tried["n"]) | (i % 3 == 2))
+        bad = again | ((i % 7 == 0) & (i % 5 != 0))
+        return left.select("arquivo", F.when(bad, "erro").otherwise("assinado").alias("status"), (i % 5 == 0).alias("retentavel"))
+
+    rows = jobs.with_retries(lot.records(spark, sf_dir).select("arquivo", "doc_id"), run, 2, lambda df: materialise(df, "round"))
+    return rows.select("arquivo", "status", "tentativas")
+
+
+@Q.query("""SELECT 'c' || doc_id AS arquivo, sha256(coalesce(text, '') || CASE WHEN doc_id % 3 = 0 THEN '2' ELSE '' END) AS sha256 FROM documents""")
+def hash_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content hashes appended in two batches of lines and read back: a path's last line counts."""
+    docs = lot.table(spark, sf_dir, "documents").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("arquivo"), F.coalesce("text", F.lit("")).alias("t"), "doc_id")
+    path = shared_path(spark, "hashes")
+    for k in range(2):
+        part = docs if k == 0 else docs.filter("doc_id % 3 = 0").withColumn("t", F.concat("t", F.lit("2")))
+        S.append_hashes(S.content_hashes(part.select("arquivo", F.encode("t", "UTF-8").alias("conteudo"))), path)
+    return R.read_hashes(spark, path)
+
+
 # --- text ---
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
@@ -19,6 +19,7 @@ from typing import Any
 MAX_STREAM_BYTES = 64 << 20
 _SPACE, _DELIMITER = b"\x00\t\n\x0c\r ", b"()<>[]{}/%"
 _OBJECT = re.compile(rb"(?<![0-9])(\d{1,10})[\x00\t\n\x0c\r ]+\d{1,5}[\x00\t\n\x0c\r ]+obj(?![a-zA-Z])")
+_MARK = re.compile(rb"[()]|\\(?:[0-7]{1,3}|\r\n|[\s\S])?")
 _ESCAPES = {110: 10, 114: 13, 116: 9, 98: 8, 102: 12}
 
 
@@ -67,22 +68,21 @@ class Lexer:
 
     def _literal(self) -> bytes:
         data, out, depth = self.data, bytearray(), 1
-        while self.at < len(data):
-            c = data[self.at]
-            self.at += 1
-            if c == 92 and self.at < len(data):
-                if m := re.compile(rb"[0-7]{1,3}").match(data, self.at):
-                    out.append(int(m[0], 8) & 255)
-                    self.at = m.end()
-                else:
-                    if data[self.at] not in b"\r\n":
-                        out.append(_ESCAPES.get(data[self.at], data[self.at]))
-                    self.at += 1
+        while m := _MARK.search(data, self.at):
+            out += data[self.at : m.start()]
+            self.at, c = m.end(), m[0]
+            if c[0] == 92:
+                if c[1:2].isdigit():
+                    out.append(int(c[1:], 8) & 255)
+                elif c[1:] not in (b"", b"\r", b"\n", b"\r\n"):  # a line break behind a backslash is none
+                    out.append(_ESCAPES.get(c[1], c[1]))
                 continue
-            depth += (c == 40) - (c == 41)
+            depth += 1 if c == b"(" else -1
             if not depth:
-                break
-            out.append(c)
+                return bytes(out)
+            out += c
+        out += data[self.at :]
+        self.at = len(data)
         return bytes(out)
 
     def _hexadecimal(self) -> bytes:
@@ -378,3 +378,27 @@ def read(data: bytes) -> tuple[list[str], list[dict]]:
             "subfilter": text("SubFilter"), "nome_declarado": text("Name"), "data": text("M"), "motivo": text("Reason"),
         })
     return [pdf.text(p) for p in pdf.pages], fields
+
+
+def write(pages: list[str], fields: Iterable[tuple[int, str, dict | None]] = ()) -> bytes:
+    """A plain PDF with a line of text per line of each page and signature fields (page, name, value).
+
+    A value has ``byte_range``, ``contents`` and ``name``. Characters outside Windows-1252 become question
+    marks. It is a source of documents for queries and tests, not a typesetter.
+    """
+    quoted = lambda s: b"(" + re.sub(rb"([()\\])", rb"\\\1", s.encode("cp1252", "replace")).replace(b"\r", b"\\r") + b")"
+    bodies, first = {1: b"<< /Type /Catalog /Pages 2 0 R >>"}, 3
+    fields = list(fields)
+    notes = first + 2 * len(pages)
+    bodies[2] = b"<< /Type /Pages /Count %d /Kids [%s] >>" % (len(pages), b" ".join(b"%d 0 R" % (first + 2 * k) for k in range(len(pages))))
+    for k, text in enumerate(pages):
+        own = b" ".join(b"%d 0 R" % (notes + 2 * n) for n, f in enumerate(fields) if f[0] == k + 1)
+        bodies[first + 2 * k] = b"<< /Type /Page /Parent 2 0 R /Contents %d 0 R /Annots [%s] >>" % (first + 2 * k + 1, own)
+        stream = zlib.compress(b"BT /F1 12 Tf\n" + b"".join(quoted(line) + b" Tj 0 -14 Td\n" for line in text.split("\n")) + b"ET")
+        bodies[first + 2 * k + 1] = b"<< /Filter /FlateDecode /Length %d >>\nstream\n%s\nendstream" % (len(stream), stream)
+    for n, (_, name, value) in enumerate(fields):
+        bodies[notes + 2 * n] = b"<< /Type /Annot /Subtype /Widget /FT /Sig /T %s %s >>" % (quoted(name), b"/V %d 0 R" % (notes + 2 * n + 1) if value else b"")
+        if value:
+            numbers = b" ".join(b"%d" % x for x in value["byte_range"])
+            bodies[notes + 2 * n + 1] = b"<< /Type /Sig /ByteRange [%s] /Contents <%s> /Name %s >>" % (numbers, value["contents"].hex().encode(), quoted(value["name"]))
+    return b"%PDF-1.7\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % x for x in bodies.items()) + b"trailer << /Root 1 0 R >>\n%%EOF"
