@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .shared import map_arrow
 from .words import Words, blocks, mix
 
 #: Bytes of an unsplit stretch that are encoded in one piece; a table key holds as many.
@@ -48,7 +49,7 @@ LEAF_BYTES = 16
 #: Tokens in a row on which both encodings must agree.
 RUN = 4
 #: The table is emptied when it holds more entries or more bytes than this.
-TABLE_ENTRIES, TABLE_BYTES = 800_000, 64 << 20
+TABLE_ENTRIES, TABLE_BYTES = 400_000, 32 << 20
 #: A leaf of a stretch beyond this is as long as this, so a blob of megabytes takes a tree of some thousand leaves.
 LONG_LEAF = 2048
 _SLOTS = 1 << 20
@@ -314,4 +315,4 @@ def encode(docs: DataFrame, path: str, outputs: tuple[str, ...] = ("ids", "decod
                 made = _columns(codec, part.column(at), outputs)
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *outputs])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import map_arrow
 from .words import Words, blocks, mix
 
 SHINGLE = 5
@@ -144,7 +145,7 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
                         ["doc_id", "item_id", "n_shingles", "n_shared", "containment"],
                     )
 
-        pairs = texts.mapInArrow(search, ddl)
+        pairs = map_arrow(texts, search, ddl)
         out = out.unionAll(pairs) if k else pairs
     return out
 
@@ -161,5 +162,5 @@ def clean(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
                     left[[i for i, _, _ in _search(part.column(column), block, percent)]] = False
                     yield part.filter(pa.array(left))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = map_arrow(docs, keep, docs.schema)
     return docs

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import id_in, id_out, materialise, shuffle_width
+from .shared import id_in, id_out, map_arrow, materialise, shuffle_width
 from .words import BLOCK_BYTES, Words, blocks, mix
 
 COORDINATES = 160
@@ -152,7 +152,7 @@ def _sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     ["doc_id", "tag", "n_shingles", "mark1", "mark2", "bands", "sketch"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id long, tag long, n_shingles long, mark1 long, mark2 long, bands array<long>, sketch binary")
+    return map_arrow(docs, sign, "doc_id long, tag long, n_shingles long, mark1 long, mark2 long, bands array<long>, sketch binary")
 
 
 def _full_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -169,7 +169,7 @@ def _full_sets(texts: DataFrame, size: int) -> DataFrame:
                 data = [h[at[i] : at[i + 1]].tobytes() for i in new]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(new, pa.int64())), pa.array(data, pa.binary())], ["node", "shingles"])
 
-    return texts.mapInArrow(sets, "node long, shingles binary")
+    return map_arrow(texts, sets, "node long, shingles binary")
 
 
 def _join_hot(rows: DataFrame, table: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
@@ -210,7 +210,7 @@ def _check_leaders(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                     b.append(lead)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.select("leader", "node", "shingles").mapInArrow(check, "a long, b long")
+    return map_arrow(rows.select("leader", "node", "shingles"), check, "a long, b long")
 
 
 def _cell_pairs(rows: dict, percent: int, done=lambda i, j: False):
@@ -286,7 +286,7 @@ def _by_cell(rows: DataFrame, look, schema: str) -> DataFrame:
         found = flush()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(len(names))], names)
 
-    return rows.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(run, schema)
+    return map_arrow(rows.repartition(*_CELL).sortWithinPartitions(*_CELL), run, schema)
 
 
 def _check_cells(crowd: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, bands: int) -> DataFrame:

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import map_arrow
 from .words import _BYTE, _LOWER, Words, _power, blocks, mix
 
 _SYMBOL = np.zeros(256, bool)
@@ -279,7 +280,7 @@ def plan_order(docs: DataFrame, rules: Iterable[Rule] = BASE_RULES + RULES, samp
                 rows += [(None, 0.0, m, n) for m, n in zip(*(x.tolist() for x in np.unique(mask, return_counts=True)), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.float64(), pa.int64(), pa.int64()))], ["rule", "seconds", "mask", "n"])
 
-    seen = sample.mapInArrow(measure, "rule int, seconds double, mask long, n long").groupBy("rule", "mask").agg(F.sum("seconds").alias("seconds"), F.sum("n").alias("n")).collect()
+    seen = map_arrow(sample, measure, "rule int, seconds double, mask long, n long").groupBy("rule", "mask").agg(F.sum("seconds").alias("seconds"), F.sum("n").alias("n")).collect()
     seconds = {r.rule: r.seconds for r in seen if r.rule is not None}
     order = best_order({r.mask: r.n for r in seen if r.rule is None}, [seconds.get(k, 0.0) for k in range(len(rules))])
     return [rules[k] for k in order]
@@ -324,4 +325,4 @@ def cascade(docs: DataFrame, rules: Iterable[Rule], stats: Iterable[str] = (), b
                 out += [pa.array(ran)] if runs else []
                 yield pa.RecordBatch.from_arrays([*part.columns, *out, pa.array(alive)], names=[*part.schema.names, *names])
 
-    return docs.mapInArrow(judge, schema)
+    return map_arrow(docs, judge, schema)

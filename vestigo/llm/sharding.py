@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .shared import materialise
+from .shared import map_arrow, materialise
 
 LAW = "rows"
 #: Buckets that a small corpus has, so that its pass two runs in parallel, and shuffle partitions of a large one.
@@ -85,7 +85,7 @@ def _shuffle_buckets(placed: DataFrame, seed: int) -> DataFrame:
         if held:
             yield from emit(held)
 
-    return placed.mapInArrow(run, schema)
+    return map_arrow(placed, run, schema)
 
 
 def external_shuffle(docs: DataFrame, shards: int = 40, seed: int = 42, bucket_bytes: int = 32 << 20) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -77,3 +78,17 @@ def free_names(docs: DataFrame, *names: str) -> list[str]:
             n = "_" + n
         out.append(n)
     return out
+
+
+#: Bytes of a batch between the JVM and a Python worker. Spark's own bound of 64 MB is held several times on either side.
+ARROW_BYTES = 4 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` in batches of bounded bytes; a smaller bound of the session stays."""
+    conf = df.sparkSession.conf
+    bound = re.fullmatch(r"(\d+)b?", conf.get(_ARROW, str(1 << 30)))
+    if not bound or not 0 < int(bound[1]) <= ARROW_BYTES:
+        conf.set(_ARROW, str(ARROW_BYTES))
+    return df.mapInArrow(run, schema)

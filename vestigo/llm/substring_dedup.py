@@ -54,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import id_in, id_out, materialise
+from .shared import id_in, id_out, map_arrow, materialise
 from .words import _BASE, _BYTE, blocks, mix, raw_texts
 
 LENGTH = 100
@@ -416,9 +416,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     columns = [*_KEY, "gram", "place", "later", "spans"]
     asked = lambda rows: rows.filter("place is not null and not later").groupBy(*_KEY).agg(F.collect_set(F.struct("place", "gram")).alias("wanted"))
     looked = lambda rows: docs.join(asked(rows).hint("shuffle_hash"), _KEY).select(*_KEY, "text", "wanted")
-    parsed = materialise(_ranked(docs.mapInArrow(_parse, _DDL)).filter("later or mixed or string is null").select(*columns, "big"), "phrases")
-    dictionary = looked(parsed.filter("not big")).mapInArrow(_phrases, "gram long, doc_id long, tag1 long, tag2 long, start long, phrase binary")
-    arrays = dictionary.repartition("gram").sortWithinPartitions("gram").mapInArrow(_suffix_arrays, "doc_id long, tag1 long, tag2 long, place long")
+    parsed = materialise(_ranked(map_arrow(docs, _parse, _DDL)).filter("later or mixed or string is null").select(*columns, "big"), "phrases")
+    dictionary = map_arrow(looked(parsed.filter("not big")), _phrases, "gram long, doc_id long, tag1 long, tag2 long, start long, phrase binary")
+    arrays = map_arrow(dictionary.repartition("gram").sortWithinPartitions("gram"), _suffix_arrays, "doc_id long, tag1 long, tag2 long, place long")
     found = materialise(arrays.select(*_KEY, F.lit(None).cast("long").alias("gram"), "place", F.lit(True).alias("later"), F.lit(None).cast("binary").alias("spans")), "suffixes")
     settled = parsed.select(*columns).unionByName(found)
     left = parsed.filter("big")
@@ -426,7 +426,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         if left.filter("place is not null and not later").isEmpty():
             break
         kept = "later or string is null" if look is _windows else "later or mixed or string is null"
-        left = materialise(_ranked(looked(left).mapInArrow(look, _DDL)).filter(kept).select(*columns), name)
+        left = materialise(_ranked(map_arrow(looked(left), look, _DDL)).filter(kept).select(*columns), name)
         settled = settled.unionByName(left)
     settled = settled.filter("later or place is null")
     span = F.expr(f"named_struct('start', shiftright(place, 16), 'end', shiftright(place, 16) + (place & 255) + {LENGTH})")
@@ -468,5 +468,5 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select(id_in().alias("doc_id"), F.xxhash64(text).alias("tag1"), F.xxhash64(F.lit(1), text).alias("tag2"), text.alias("text"))
     spans = repeated_spans(texts).groupBy(*_KEY).agg(F.collect_set("span").alias("one"), F.collect_set("spans").alias("many"))
     rows = texts.join(spans.hint("shuffle_hash"), _KEY, "left").select("doc_id", "text", "one", "many")
-    cut = rows.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    cut = map_arrow(rows, _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     return cut.withColumn("doc_id", id_out())

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import materialise
+from .shared import map_arrow, materialise
 
 #: A text is encoded in pieces of about this many characters, cut only where a token must begin.
 PIECE_CHARS = 1 << 18
@@ -91,7 +91,7 @@ def length_histogram(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
                 seen[n] = seen.get(n, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["n_tokens", "n_docs"])
 
-    part = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "n_tokens long, n_docs long")
+    part = map_arrow(docs.select(F.col("text").cast("string").alias("text")), count, "n_tokens long, n_docs long")
     return materialise(part.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "histogram")
 
 
