@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,15 +82,38 @@ def free_names(docs: DataFrame, *names: str) -> list[str]:
     return out
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
 #: Bytes of a batch between the JVM and a Python worker. Spark's own bound of 64 MB is held several times on either side.
 ARROW_BYTES = 4 << 20
 _ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def _give_back() -> None:
+    """Returns memory that Arrow and the allocator keep for later to the system: workers share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` in batches of bounded bytes; a smaller bound of the session stays."""
     conf = df.sparkSession.conf
     bound = re.fullmatch(r"(\d+)b?", conf.get(_ARROW, str(1 << 30)))
     if not bound or not 0 < int(bound[1]) <= ARROW_BYTES:
         conf.set(_ARROW, str(ARROW_BYTES))
-    return df.mapInArrow(run, schema)
+
+    def bounded(batches):
+        def counted():
+            for k, batch in enumerate(batches):
+                if k % 2:
+                    _give_back()
+                yield batch
+
+        yield from run(counted())
+        _give_back()
+
+    return df.mapInArrow(bounded, schema)
