@@ -449,6 +449,24 @@ def test_substring_dedup(spark, docs, none, segment, group, array, monkeypatch):
     assert substring_dedup.drop_repeats(none).count() == 0
 
 
+def test_large_grams_look_no_text_up_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "GROUP", 2)
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcd ") for _ in range(160))
+    rows = [(k, "".join(rng.choice("wxyz ") for _ in range(rng.randint(0, 300))) + passage[rng.randint(0, 40) :] + f"{k % 7}" * rng.randint(0, 150)) for k in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/source")
+    read, mapped = {}, substring_dedup.map_arrow
+
+    def noted(df, run, schema):
+        read[run.__name__] = any("/source/" in f for f in df.inputFiles())
+        return mapped(df, run, schema)
+
+    monkeypatch.setattr(substring_dedup, "map_arrow", noted)
+    got = substring_dedup.drop_repeats(spark.read.parquet(f"{tmp_path}/source"))
+    assert _columns(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == _repeats(rows)
+    assert read == {"_parse": True, "_phrases": True, "_suffix_arrays": False, "_split": False, "_windows": False, "_cut": True}
+
+
 # --- shards ---
 
 

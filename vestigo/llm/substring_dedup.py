@@ -27,7 +27,9 @@ cut into pieces of up to PIECE windows by their distance from the trigger. All
 windows of a piece share a core; a core that occurs once rules out every repeat,
 equal pieces under one core repeat whole, and only pieces that differ under one
 core come down to the windows themselves, sorted by hash and place over the
-cluster. A repetitive text leaves few phrases.
+cluster. A repetitive text leaves few phrases. The dictionary is written with its
+bytes, and pieces and windows are cut from there: whole texts are moved twice, once
+for the dictionary and once for the cut, whether there are such grams or not.
 
 Texts go through in blocks. Repeats inside a block are settled there, and a task
 keeps the first places of MET strings in mind, so a phrase that a third of all
@@ -252,13 +254,18 @@ def _parse(batches):
                 yield from _emit(part, g[first], phrase[first], own[first], _pack(start, at - lo, hi - lo)[first], spans)
 
 
+def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start of a run's first window, its distance to the trigger, and the number of windows."""
+    return place >> 16, place >> 8 & 255, (place & 255) + 1
+
+
 def _wanted(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """Of the runs that a text is asked for: owner text, start, distance to the trigger, windows, key."""
-    wanted = part.column(4)
+    wanted = part.column("wanted")
     counts = np.diff(np.frombuffer(wanted.buffers()[1], np.int32)[wanted.offset : wanted.offset + len(wanted) + 1])
     place = wanted.flatten().field(0).to_numpy()
     key = wanted.flatten().field(1).to_numpy().view(np.uint64)
-    return np.repeat(np.arange(part.num_rows), counts), place >> 16, place >> 8 & 255, (place & 255) + 1, key
+    return np.repeat(np.arange(part.num_rows), counts), *_unpack(place), key
 
 
 def _stretches(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, _Hashes, int]]:
@@ -272,16 +279,17 @@ def _stretches(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, _
 
 
 def _phrases(batches):
-    """(gram, doc_id, tag1, tag2, start, phrase) of the wanted phrases."""
+    """(gram, doc_id, tag1, tag2, place, big, phrase) of the wanted phrases."""
     copies = _Copies()
     for batch in batches:
         for part in blocks(copies.drop(batch)):
             data, bounds = raw_texts(part.column(3))
-            own, start, _, n, key = _wanted(part)
+            own, start, before, n, key = _wanted(part)
+            big = part.column("wanted").flatten().field(2)
             raw, low = memoryview(data), bounds[own] + start
             text = [bytes(raw[a:b]) for a, b in zip(low.tolist(), (low + n + LENGTH - 1).tolist(), strict=True)]
             at = pa.array(own)
-            yield pa.RecordBatch.from_arrays([_signed(key), *(part.column(k).take(at) for k in range(3)), pa.array(start, pa.int64()), pa.array(text, pa.binary())], ["gram", *_KEY, "start", "phrase"])
+            yield pa.RecordBatch.from_arrays([_signed(key), *(part.column(k).take(at) for k in range(3)), pa.array(_pack(start, before, n - 1), pa.int64()), big, pa.array(text, pa.binary())], ["gram", *_KEY, "place", "big", "phrase"])
 
 
 def _dense(key: np.ndarray) -> np.ndarray:
@@ -354,22 +362,21 @@ def _suffix_arrays(batches):
 
 
 def _split(batches):
-    """Pieces of the wanted phrases under the hash of their core."""
-    copies = _Copies()
+    """Pieces of phrases under the hash of their core."""
     for batch in batches:
-        for part in blocks(copies.drop(batch)):
+        for part in blocks(batch, "phrase"):
             data, bounds = raw_texts(part.column(3))
             docs = part.column(0).to_numpy()
-            own, lo, before, n, _ = _wanted(part)
-            run = np.repeat(np.arange(len(own)), n)
+            begin, before, n = _unpack(part.column(4).to_numpy())
+            run = np.repeat(np.arange(len(n)), n)
             inside = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
             distance = before[run] - inside
             new = np.ones(len(run), bool)
             new[1:] = (run[1:] != run[:-1]) | (distance[1:] // PIECE != distance[:-1] // PIECE)
             head = np.flatnonzero(new)
             last = np.append(head[1:], len(run)) - 1
-            owner, start, more, away = own[run[head]], lo[run[head]] + inside[head], last - head, distance[head]
-            whole = bounds[owner] + start
+            owner, more, away = run[head], last - head, distance[head]
+            start, whole = begin[owner] + inside[head], bounds[owner] + inside[head]
             core, string = np.empty(len(head), np.uint64), np.empty(len(head), np.uint64)
             for i, hashes, s in _stretches(data, whole):
                 at = whole[i] - s
@@ -381,16 +388,16 @@ def _split(batches):
 
 
 def _windows(batches):
-    """Every window of the wanted pieces under the piece's core."""
-    copies = _Copies()
+    """Every window of the wanted pieces of phrases under the piece's core."""
     for batch in batches:
-        for part in blocks(copies.drop(batch)):
+        for part in blocks(batch, "phrase"):
             data, bounds = raw_texts(part.column(3))
             docs = part.column(0).to_numpy()
+            begin = _unpack(part.column(4).to_numpy())[0]
             own, lo, _, n, key = _wanted(part)
             owner, core = np.repeat(own, n), np.repeat(key, n)
             start = np.repeat(lo, n) + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-            whole = bounds[owner] + start
+            whole = bounds[owner] + start - begin[owner]
             string = np.empty(len(owner), np.uint64)
             for i, hashes, s in _stretches(data, whole):
                 string[i] = hashes.window(whole[i] - s)
@@ -414,20 +421,26 @@ def _ranked(rows: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, tag1, tag2, span, spans): what goes, as one span or as packed pairs."""
     columns = [*_KEY, "gram", "place", "later", "spans"]
-    asked = lambda rows: rows.filter("place is not null and not later").groupBy(*_KEY).agg(F.collect_set(F.struct("place", "gram")).alias("wanted"))
-    looked = lambda rows: docs.join(asked(rows).hint("shuffle_hash"), _KEY).select(*_KEY, "text", "wanted")
-    parsed = materialise(_ranked(map_arrow(docs, _parse, _DDL)).filter("later or mixed or string is null").select(*columns, "big"), "phrases")
-    dictionary = map_arrow(looked(parsed.filter("not big")), _phrases, "gram long, doc_id long, tag1 long, tag2 long, start long, phrase binary")
-    arrays = map_arrow(dictionary.repartition("gram").sortWithinPartitions("gram"), _suffix_arrays, "doc_id long, tag1 long, tag2 long, place long")
+    asked = lambda rows, by, *what: rows.filter("place is not null and not later").groupBy(*by).agg(F.collect_set(F.struct("place", "gram", *what)).alias("wanted"))
+    kept = "later or mixed or string is null"
+    parsed = materialise(_ranked(map_arrow(docs, _parse, _DDL)).filter(kept).select(*columns, "big"), "phrases")
+    looked = docs.join(asked(parsed, _KEY, "big").hint("shuffle_hash"), _KEY).select(*_KEY, "text", "wanted")
+    dictionary = materialise(map_arrow(looked, _phrases, "gram long, doc_id long, tag1 long, tag2 long, place long, big boolean, phrase binary"), "dictionary")
+    ordered = dictionary.filter("not big").select("gram", *_KEY, F.shiftright("place", 16).alias("start"), "phrase").repartition("gram").sortWithinPartitions("gram")
+    arrays = map_arrow(ordered, _suffix_arrays, "doc_id long, tag1 long, tag2 long, place long")
     found = materialise(arrays.select(*_KEY, F.lit(None).cast("long").alias("gram"), "place", F.lit(True).alias("later"), F.lit(None).cast("binary").alias("spans")), "suffixes")
     settled = parsed.select(*columns).unionByName(found)
-    left = parsed.filter("big")
-    for name, look in (("pieces", _split), ("windows", _windows)):
-        if left.filter("place is not null and not later").isEmpty():
-            break
-        kept = "later or string is null" if look is _windows else "later or mixed or string is null"
-        left = materialise(_ranked(map_arrow(looked(left), look, _DDL)).filter(kept).select(*columns), name)
-        settled = settled.unionByName(left)
+    large = dictionary.filter("big").select(*_KEY, "phrase", "place")
+    if not large.isEmpty():
+        pieces = materialise(_ranked(map_arrow(large, _split, _DDL)).filter(kept).select(*columns), "pieces")
+        settled = settled.unionByName(pieces)
+        if not pieces.filter("place is not null and not later").isEmpty():
+            # A document has one phrase per trigger place, and a piece has its phrase's.
+            trigger = F.expr("shiftright(place, 16) + (shiftright(place, 8) & 255)")
+            by = [*_KEY, "trigger"]
+            runs = asked(pieces.withColumn("trigger", trigger), by)
+            looked = large.withColumn("trigger", trigger).join(runs.hint("shuffle_hash"), by).select(*_KEY, "phrase", "place", "wanted")
+            settled = settled.unionByName(materialise(_ranked(map_arrow(looked, _windows, _DDL)).filter("later or string is null").select(*columns), "windows"))
     settled = settled.filter("later or place is null")
     span = F.expr(f"named_struct('start', shiftright(place, 16), 'end', shiftright(place, 16) + (place & 255) + {LENGTH})")
     return settled.select(*_KEY, F.when(F.col("place").isNotNull(), span).alias("span"), "spans")
