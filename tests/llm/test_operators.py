@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -225,6 +226,17 @@ def test_a_spoiled_payload_stops_the_read(spark):
         warc.read_archive(spark, warc.Archive(archive.records, archive.payloads + "2")).collect()
 
 
+def test_an_archive_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if re.search(r"/shuffle_\d+_\d+_0\.data$", f)}
+    before = shuffled()
+    warc.write_archive(spark.createDataFrame([(k, "u", f"{k % 5}" * 1200) for k in range(40)], "page_id long, url string, html string"))
+    until = time.monotonic() + 10  # files are deleted in the background
+    while (left := shuffled() - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not left
+
+
 # --- benchmark ---
 
 

@@ -41,13 +41,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a durable cut of its lineage.
-
-    The shuffle files behind ``df`` are of no more use then and go with the write.
-    """
+def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Write ``df`` as Parquet. The shuffle files behind it are of no more use then and go with the write."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -57,6 +53,13 @@ def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         writer.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
+
+
+def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a durable cut of its lineage."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    write_table(df, path, *partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

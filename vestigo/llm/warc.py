@@ -11,7 +11,8 @@ always responses (their bytes are still stored once).
 
 Only digests and ids meet by payload, after a pre-aggregation, so a payload
 that a third of all pages share costs no task more than others. Payload bytes
-are written from where they lie, by the page that holds them.
+are dealt by page, and the page that holds them writes them; the shuffle files
+go with each write, so those of the writes and of a read never lie side by side.
 
 Defined results: a null html is an empty payload; a null page_id is a record
 whose id reads ``none``, it ranks below every other and never refers; repeated
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import NULL_ID, shared_path
+from .shared import NULL_ID, shared_path, write_table
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -70,11 +71,11 @@ def write_archive(pages: DataFrame, path: str | None = None, min_bytes: int = 10
     holders = digests.groupBy("sha256").agg(F.max("page_id").alias("holder"))
     kind = F.when((F.col("payload_bytes") < min_bytes) | (F.col("page_id") == F.col("holder")), "response").otherwise("revisit")
     records = digests.join(holders, "sha256").withColumn("kind", kind)
-    records.select("page_id", F.encode(_header(F.col("kind")), "UTF-8").alias("header"), "sha256", "holder").write.parquet(archive.records)
+    write_table(records.select("page_id", F.encode(_header(F.col("kind")), "UTF-8").alias("header"), "sha256", "holder"), archive.records)
     # One row per digest: the page that holds it. Repeated rows of that page are equal, so any one serves.
     stored = spark.read.parquet(archive.records).filter(F.col("page_id") == F.col("holder")).select("page_id", "sha256").distinct()
     held = full.select("page_id", "payload", F.sha2("payload", 256).alias("sha256")).join(stored.hint("shuffle_hash"), ["page_id", "sha256"], "left_semi")
-    held.dropDuplicates(["page_id", "sha256"]).select("sha256", "payload").write.parquet(archive.payloads)
+    write_table(held.dropDuplicates(["page_id", "sha256"]).select("sha256", "payload"), archive.payloads)
     return archive
 
 
