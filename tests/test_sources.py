@@ -2,6 +2,7 @@ import io
 import os
 import zipfile
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.lots import records
 from vestigo import schemas
 from vestigo.operators import detect, jobs
+from vestigo.plans import more, queries as plans  # noqa: F401
 from vestigo.sources import files as S
 from vestigo.sources import records as R
 from vestigo.streaming import ingest
@@ -173,6 +175,18 @@ def test_hits_in_order_of_place(spark):
     assert [(h.page, h.confidence) for h in hits] == [(p, c) for p in (1, 2, 3) for c in (0.5, 0.7, 0.9)]
 
 
+def test_package_references(spark, tmp_path):
+    """Pages cut off inside a reference: the query's SQL resolves four whole ones and no others; an operator's default is HTML's."""
+    html = ["<p>a &amp</p>p{&am<i>p; &copy; &middot; &quot;", "&amp;quot; &ampp; &amp", "&lt; &#65; &copy &nbsp;", None]
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").selectExpr("*", "'u' as url").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.arquivo: r.texto for r in plans.QUERIES["package_texts"](spark, str(tmp_path)).collect()}
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert got == {name: text for name, text, _ in c.execute(plans.ORACLES["package_texts"]).fetchall()}
+    assert got["p0/texto.docx"] == 'a &ampp{& © · "' and got["p3/texto.docx"] == ""
+    assert S.package_text(_zip({"word/document.xml": "<p>a &amp</p>p; &lt;"}), ".docx") == "a &p; <"
+
+
 def test_contents(spark):
     rows = [(r"/Contents (a(b\))\101\n)",), ("/Contents <0a1>",), ("/Other",), ("/Contents (open",)]
     got = [bytes(r.x) for r in spark.createDataFrame(rows, "o string").select(detect.pdf_contents("o").alias("x")).collect()]

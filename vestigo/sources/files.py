@@ -14,7 +14,7 @@ import re
 import shutil
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import suppress
 from dataclasses import dataclass
 
@@ -235,7 +235,13 @@ def expand_archives(spark: SparkSession, zips: DataFrame, known: DataFrame, keep
 _BREAK, _TAB, _TAG = re.compile(V.XML_BREAK), re.compile(V.XML_TAB), re.compile(V.XML_TAG)
 
 
-def package_text(data: bytes, extension: str) -> str:
+def resolver(references: dict[str, str]) -> Callable[[str], str]:
+    """Resolves these references and no others, each once; ``html.unescape`` knows all of HTML's, some without their semicolon."""
+    known = re.compile("|".join(map(re.escape, references)))
+    return lambda text: known.sub(lambda m: references[m[0]], text)
+
+
+def package_text(data: bytes, extension: str, resolve: Callable[[str], str] = html.unescape) -> str:
     """Text of an Office package: its XML parts in name order, joined by newlines."""
     prefix = V.OOXML_TEXT[extension.lower()]
     with zipfile.ZipFile(io.BytesIO(data)) as z:
@@ -246,7 +252,7 @@ def package_text(data: bytes, extension: str) -> str:
             raise ValueError(f"package without {prefix}*.xml")
         names = sorted(m.filename for m in parts)
         raw = [z.read(n).decode("utf-8", "replace") for n in names]
-    return "\n".join(html.unescape(_TAG.sub("", _TAB.sub("\t", _BREAK.sub("\n", x)))) for x in raw)
+    return "\n".join(resolve(_TAG.sub("", _TAB.sub("\t", _BREAK.sub("\n", x)))) for x in raw)
 
 
 def package_media(data: bytes, extension: str) -> list[tuple[str, int]]:
@@ -289,15 +295,15 @@ def package_pictures(data: bytes, extension: str) -> Iterator[bytes]:
                     yield picture
 
 
-def packages(files: DataFrame) -> DataFrame:
-    """(arquivo, texto, midias, erro) of packages given as (arquivo, formato, conteudo)."""
+def packages(files: DataFrame, resolve: Callable[[str], str] = html.unescape) -> DataFrame:
+    """(arquivo, texto, midias, erro) of packages given as (arquivo, formato, conteudo); ``resolve`` turns references into characters."""
 
     def read(batches):
         for batch in batches:
             for name, ext, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 text, media, error = None, None, None
                 try:
-                    text, media = package_text(data, ext), len(package_media(data, ext))
+                    text, media = package_text(data, ext, resolve), len(package_media(data, ext))
                 except (KeyError, ValueError, TypeError, RuntimeError, zipfile.BadZipFile, NotImplementedError) as e:
                     error = str(e)
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([text], pa.string()), pa.array([media], pa.int32()), pa.array([error], pa.string())], ["arquivo", "texto", "midias", "erro"])
