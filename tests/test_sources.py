@@ -1,9 +1,12 @@
 import io
 import os
+import tracemalloc
 import zipfile
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,6 +196,20 @@ def test_contents(spark):
     assert got == [b"a(b))A\n", b"\x0a", b"", b""]
 
 
+def test_contents_block_by_block():
+    """A batch of 32 MB is decoded a megabyte at a time, whatever the number of its rows; order, nulls and longer texts stay."""
+    texts = [f"/Contents ({k}{'y' * 4000})" for k in range(8000)] + [None, "", f"/Contents ({'z' * 3_000_000})", "/Contents <0a>"]
+    batches = [pa.array(texts[:5000], pa.string()), pa.array([], pa.string()), pa.array(texts[4000:], pa.string()).slice(1000)]
+    rows, most = [], 0
+    tracemalloc.start()
+    for block in detect.pdf_contents.func(iter(batches)):
+        rows += pc.binary_length(block).to_pylist()
+        most = max(most, block.nbytes if len(block) > 1 else 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == [4000 + len(str(k)) for k in range(8000)] + [0, 0, 3_000_000, 1] and most < 2 << 20 and peak < 16 << 20
+
+
 def test_streams(spark, tmp_path):
     src, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
     src.mkdir()

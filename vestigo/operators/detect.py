@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.window import Window
 
 from .. import vocabulary as V
@@ -192,31 +194,47 @@ _LITERAL = re.compile(r"\\(?:[0-7]{1,3}|[\s\S]?)|[()]")
 _ESCAPED = {"n": "\n", "r": "\r", "t": "\t", "b": "\b", "f": "\f"}
 
 
-@pandas_udf(T.BinaryType())
-def pdf_contents(obj: pd.Series) -> pd.Series:
-    """Bytes of a ``/Contents`` entry, hexadecimal or literal with balanced parentheses and escapes."""
+#: Bytes of text that are decoded at a time; a longer one goes alone.
+_BLOCK = 1 << 20
 
-    def read(s: str | None) -> bytes:
-        at = (s or "").find("/Contents")
-        if at < 0:
-            return b""
-        tail = s[at + len("/Contents") :]
-        if m := re.match(r"\s*<([0-9A-Fa-f\s]*)>", tail):
-            digits = re.sub(r"\s", "", m[1])
-            return bytes.fromhex(digits[: len(digits) & ~1])
-        start = tail.find("(")
-        out, depth, at = [], 0, start
-        for m in _LITERAL.finditer(tail, start) if start >= 0 else ():
-            out.append(tail[at : m.start()])
-            at, c = m.end(), m[0]
-            if c[0] == "\\":
-                out.append(chr(int(c[1:], 8) & 0xFF) if c[1:2].isdigit() else _ESCAPED.get(c[1:], c[1:]))
-                continue
-            depth += 1 if c == "(" else -1
-            if not depth:
-                return "".join(out).encode("latin-1", "replace")
-            if m.start() > start:
-                out.append(c)
-        return b""
 
-    return obj.map(read)
+def _blocks(texts: pa.Array) -> Iterator[list[str | None]]:
+    """A batch's texts in their order, block by block."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _BLOCK, "right")))
+        yield texts.slice(at, stop - at).to_pylist()
+        at = stop
+
+
+def _contents(s: str | None) -> bytes:
+    at = (s or "").find("/Contents")
+    if at < 0:
+        return b""
+    tail = s[at + len("/Contents") :]
+    if m := re.match(r"\s*<([0-9A-Fa-f\s]*)>", tail):
+        digits = re.sub(r"\s", "", m[1])
+        return bytes.fromhex(digits[: len(digits) & ~1])
+    start = tail.find("(")
+    out, depth, at = [], 0, start
+    for m in _LITERAL.finditer(tail, start) if start >= 0 else ():
+        out.append(tail[at : m.start()])
+        at, c = m.end(), m[0]
+        if c[0] == "\\":
+            out.append(chr(int(c[1:], 8) & 0xFF) if c[1:2].isdigit() else _ESCAPED.get(c[1:], c[1:]))
+            continue
+        depth += 1 if c == "(" else -1
+        if not depth:
+            return "".join(out).encode("latin-1", "replace")
+        if m.start() > start:
+            out.append(c)
+    return b""
+
+
+@arrow_udf(T.BinaryType())
+def pdf_contents(obj: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Bytes of a ``/Contents`` entry, hexadecimal or literal with balanced parentheses and escapes."""
+    for texts in obj:
+        for block in _blocks(texts):
+            yield pa.array(map(_contents, block), pa.binary(), size=len(block))
